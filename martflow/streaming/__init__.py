@@ -1,0 +1,2 @@
+"""Streaming: the mart has no real-time path; late data is handled by
+re-running its day (see ``martflow.plans.run_day``)."""
