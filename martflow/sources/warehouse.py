@@ -33,8 +33,42 @@ def read_partitioned(
     return conform(df, types) if types is not None else df
 
 
-def _parent(path: str) -> str:
-    return path.rsplit("/", 1)[0]
+_SEP = "\x1f"
+
+
+def _sniff_headers(batches):
+    """mapInPandas body: first line of each file, read on the executors."""
+    import csv
+
+    import pandas as pd
+    from pyarrow import fs
+
+    for pdf in batches:
+        headers = []
+        for uri in pdf["path"]:
+            filesystem, p = fs.FileSystem.from_uri(uri)
+            buf = b""
+            with filesystem.open_input_stream(p, compression="detect") as stream:
+                while b"\n" not in buf:
+                    chunk = stream.read(1 << 16)
+                    if not chunk:
+                        break
+                    buf += chunk
+            line = buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+            headers.append(_SEP.join(next(csv.reader([line]))) if line else "")
+        yield pd.DataFrame({"path": pdf["path"], "header": headers})
+
+
+def file_headers(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
+    """Group files by their CSV header in one distributed job (each executor
+    opens its share of files and reads only their first line)."""
+    listing = spark.createDataFrame([(f,) for f in files], "path string")
+    sniffed = listing.mapInPandas(_sniff_headers, "path string, header string")
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for row in sniffed.collect():  # one short row per file: the listing itself
+        if row["header"]:
+            groups[tuple(row["header"].split(_SEP))].append(row["path"])
+    return groups
 
 
 def read_partitioned_csv(
@@ -42,28 +76,24 @@ def read_partitioned_csv(
 ) -> DataFrame:
     """Day folders of headered CSV whose columns may differ between days.
 
-    The file listing (no data) groups day folders by their header; each
-    distinct header becomes one multi-folder scan, ``dt`` is recovered from the
-    folder names, and the scans are merged by column name, missing columns
-    becoming NULL.  So a table with one stable header is a single scan however
-    many days it holds.  No data at all is an error.
+    The file listing (no data) is grouped by header; each distinct header
+    becomes one scan over all of its files, ``dt`` is recovered from the folder
+    names, and the scans are merged by column name, missing columns becoming
+    NULL.  A table with one stable header is a single scan however many days
+    it holds.  No data at all is an error.
     """
     files = spark.read.text(path).inputFiles()
-    folders = sorted({_parent(f) for f in files})
-    if not folders:
+    groups = file_headers(spark, files) if files else {}
+    if not groups:
         raise FileNotFoundError(f"no partitions under {path}")
-    by_header: dict[tuple, list[str]] = defaultdict(list)
-    for folder in folders:
-        header = tuple(spark.read.option("header", True).csv(folder).columns)
-        by_header[header].append(folder)
     merged = None
-    for header, group in by_header.items():
+    for header, group in sorted(groups.items()):
         part = (
             spark.read.schema(text_schema(header))
             .option("header", True)
             .option("nullValue", "")
             .option("basePath", path)
-            .csv(group)
+            .csv(sorted(group))
         )
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
     return conform(merged, types) if types is not None else merged

@@ -1,0 +1,144 @@
+"""Quality gates: one negative fixture per gate, NULL rules, and the fused
+report against the gate-family operators."""
+from __future__ import annotations
+
+import copy
+
+import pytest
+
+from martflow.operators import gates as G
+from tests.conftest import need_testdata, ods_from_rows, read_rows
+
+GOOD = {t: read_rows("good", t) for t in ("users", "orders", "order_items")}
+
+
+def _row(table, key_col, key):
+    return next(r for r in table if r[key_col] == key)
+
+
+def _set(table, key_col, key, **values):
+    def apply(d):
+        _row(d[table], key_col, key).update(values)
+    return apply
+
+
+def _dup(table, key_col, key):
+    def apply(d):
+        d[table].append(dict(_row(d[table], key_col, key)))
+    return apply
+
+
+U, O, I = ("users", "user_id", "U1"), ("orders", "order_id", "O1"), ("order_items", "order_item_id", "I1")
+
+# gate ordinal -> mutation of the `good` fixture; each trips its gate first, with 1 bad row.
+MUTATIONS = {
+    1: _set(*U, city=" "),
+    2: _dup(*U),
+    3: _set(*U, gender="X"),
+    4: _set(*U, channel="tv"),
+    5: _set(*O, status=""),
+    6: _dup(*O),
+    7: _set(*O, status="lost"),
+    8: _set(*O, pay_amount="-10.00"),
+    9: _set(*O, order_ts="nope"),
+    10: _set(*O, dt="2026/07/01"),
+    11: _set(*O, order_ts="2026-07-02 10:00:00"),
+    12: _set(*O, user_id="U999"),
+    13: _set(*I, category=" "),
+    14: _dup(*I),
+    15: _set(*I, qty="0"),
+    16: _set(*I, unit_price="-1"),
+    17: _set(*I, amount="-1"),
+    18: _set(*I, amount="999.00"),
+    19: _set(*I, order_id="O999"),
+    20: _set(*O, pay_amount="101.00"),
+    21: _set(*O, refund_amount="-1"),
+    22: _set(*I, refund_qty="-1"),
+    23: _set(*I, refund_amount="-1"),
+    24: _set(*I, refund_qty="2"),
+    25: _set(*I, refund_amount="150.00"),
+    26: _set(*O, refund_amount="150.00"),
+    27: _set(*O, refund_amount="5.00"),
+    28: _set("orders", "order_id", "O4", status="refunded"),
+}
+# Later gates that the same mutation also trips (1 bad row each).
+ALSO = {
+    5: {7}, 8: {20, 26}, 14: {20}, 15: {18}, 16: {18}, 17: {18, 20, 25}, 18: {20}, 19: {20},
+    21: {27}, 23: {27}, 25: {27}, 26: {27},
+}
+
+
+def _report(spark, mutate=None):
+    data = copy.deepcopy(GOOD)
+    if mutate:
+        mutate(data)
+    ods = ods_from_rows(spark, data["users"], data["orders"], data["order_items"])
+    return {r["ordinal"]: (r["gate"], r["bad_rows"]) for r in G.gate_report(*ods).collect()}
+
+
+def test_clean_fixture_passes_all_gates(spark):
+    report = _report(spark)
+    assert [report[k][0] for k in sorted(report)] == list(G.GATES)
+    assert all(bad == 0 for _, bad in report.values())
+
+
+@pytest.mark.parametrize("ordinal", sorted(MUTATIONS))
+def test_each_gate_trips_first(spark, ordinal):
+    report = _report(spark, MUTATIONS[ordinal])
+    failing = {k for k, (_, bad) in report.items() if bad}
+    assert min(failing) == ordinal
+    assert failing == {ordinal} | ALSO.get(ordinal, set())
+    assert all(report[k][1] == 1 for k in failing)
+
+
+def test_check_gates_raises_first_failure(spark):
+    data = copy.deepcopy(GOOD)
+    MUTATIONS[17](data)
+    ods = ods_from_rows(spark, data["users"], data["orders"], data["order_items"])
+    with pytest.raises(G.QualityError) as err:
+        G.check_gates(G.gate_report(*ods))
+    assert (err.value.gate, err.value.bad_rows) == ("ods_items.amount", 1)
+
+
+def test_null_keys_count_as_orphans_and_duplicates(spark):
+    data = copy.deepcopy(GOOD)
+    extra = dict(_row(data["orders"], "order_id", "O1"))
+    data["orders"] += [dict(extra, order_id=""), dict(extra, order_id="")]
+    item = dict(_row(data["order_items"], "order_item_id", "I1"))
+    data["order_items"].append(dict(item, order_item_id="I9", order_id=""))
+    report = _report(spark, lambda d: d.update(data))
+    by_name = {name: bad for name, bad in report.values()}
+    assert by_name["ods_orders.required"] == 2
+    assert by_name["ods_orders.pk"] == 1          # the NULL key occurs twice
+    assert by_name["ods_items.fk_order"] == 1     # a NULL order id has no parent
+    assert by_name["ods_items.required"] == 1
+    # the two NULL-key orders match no line (not even the NULL-key line I9)
+    assert by_name["ods_orders.amount_vs_items"] == 2
+    assert by_name["ods_orders.refund_vs_items"] == 0
+
+
+def test_fused_report_matches_gate_families(spark):
+    need_testdata()
+    from martflow.sources import raw_ods_from_tpch
+    from tests.conftest import SF0001
+
+    u, o, i = raw_ods_from_tpch(spark, SF0001)
+    fused = {r["gate"]: r["bad_rows"] for r in G.gate_report(u, o, i).collect()}
+    g = G.GATES
+    parts = [
+        G.not_null(u, G.USER_REQUIRED, g[0]), G.unique(u, ["user_id"], g[1]),
+        G.values_in(u, "gender", G.GENDERS, g[2]), G.values_in(u, "channel", G.CHANNELS, g[3]),
+        G.not_null(o, G.ORDER_REQUIRED, g[4]), G.unique(o, ["order_id"], g[5]),
+        G.values_in(o, "status", G.ORDER_STATUSES, g[6]), G.non_negative(o, "pay_amount", g[7]),
+        G.ts_dt_alignment(o), G.foreign_key(o, u, "user_id", g[11]),
+        G.not_null(i, G.ITEM_REQUIRED, g[12]), G.unique(i, ["order_item_id"], g[13]),
+        G.positive(i, "qty", g[14]), G.non_negative(i, "unit_price", g[15]),
+        G.non_negative(i, "amount", g[16]), G.line_amount(i), G.foreign_key(i, o, "order_id", g[18]),
+        G.amount_match(o, i), G.refund_rules(o, i),
+    ]
+    single = {}
+    for p in parts:
+        single.update({r["gate"]: r["bad_rows"] for r in p.collect()})
+    assert single == fused
+    assert fused["ods_items.pk"] > 0 and fused["ods_orders.amount_vs_items"] > 0
+    assert fused["ods_items.amount_eq_qty_price"] > 0

@@ -1,0 +1,129 @@
+"""Sources, sinks and plan shape (pruning, pushdown)."""
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martflow.schema import DWD_ORDER_TYPES, conform
+from martflow.sinks import save_day, save_partitioned, write_empty_day
+from martflow.sources import (
+    ods_from_tpch,
+    read_ods_dir,
+    read_partitioned,
+    read_partitioned_csv,
+    read_text_csv,
+)
+from tests.conftest import SF0001, need_testdata
+
+
+def test_conform_try_casts_and_adds_missing(spark):
+    df = spark.createDataFrame([("1.50", "2026-07-01", "x"), ("oops", "2026-7-2", "y")],
+                               "pay_amount string, dt string, other string")
+    out = conform(df, DWD_ORDER_TYPES)
+    rows = out.collect()
+    assert [str(r["pay_amount"]) if r["pay_amount"] is not None else None for r in rows] == ["1.50", None]
+    assert [r["dt"] for r in rows] == [dt.date(2026, 7, 1), dt.date(2026, 7, 2)]
+    assert out.schema["is_paid"].dataType == T.IntegerType()
+    assert [r["is_paid"] for r in rows] == [None, None]
+    assert out.columns[:3] == ["pay_amount", "dt", "other"]
+
+
+def test_csv_source_rejects_a_renamed_header(spark, tmp_path):
+    (tmp_path / "users.csv").write_text("user_id,register_dt,town,gender,channel\nU1,2026-06-01,B,M,app\n")
+    df = read_text_csv(spark, str(tmp_path / "users.csv"),
+                       ("user_id", "register_dt", "city", "gender", "channel"))
+    with pytest.raises(Exception):
+        df.collect()
+
+
+def test_csv_blank_is_null_space_is_kept(spark, tmp_path):
+    (tmp_path / "u.csv").write_text('user_id,register_dt,city,gender,channel\nU1,,"",M, \n')
+    r = read_text_csv(spark, str(tmp_path / "u.csv"),
+                      ("user_id", "register_dt", "city", "gender", "channel")).collect()[0]
+    assert r["register_dt"] is None and r["city"] is None and r["channel"] == " "
+
+
+def test_csv_day_folders_with_drifting_headers(spark, tmp_path):
+    root = tmp_path / "t"
+    (root / "dt=2026-07-01").mkdir(parents=True)
+    (root / "dt=2026-07-02").mkdir(parents=True)
+    (root / "dt=2026-07-03").mkdir(parents=True)
+    (root / "dt=2026-07-01" / "part-0.csv").write_text("order_id,gmv\nO1,1.50\nO2,2.00\n")
+    (root / "dt=2026-07-02" / "part-0.csv").write_text("gmv,order_id,channel\n3.00,O3,app\n")
+    (root / "dt=2026-07-03" / "part-0.csv").write_text("order_id,gmv\n")  # header only
+    df = read_partitioned_csv(spark, str(root))
+    got = sorted((r["order_id"], r["gmv"], r["channel"], str(r["dt"])) for r in df.collect())
+    assert got == [("O1", "1.50", None, "2026-07-01"), ("O2", "2.00", None, "2026-07-01"),
+                   ("O3", "3.00", "app", "2026-07-02")]
+
+
+def test_csv_day_folders_empty_is_an_error(spark, tmp_path):
+    (tmp_path / "dt=2026-07-01").mkdir()
+    with pytest.raises(Exception):
+        read_partitioned_csv(spark, str(tmp_path))
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "k string, v int, dt date")
+
+
+def test_day_overwrite_leaves_other_days(spark, tmp_path):
+    path = str(tmp_path / "f")
+    d1, d2 = dt.date(2026, 7, 1), dt.date(2026, 7, 2)
+    save_partitioned(_frame(spark, [("a", 1, d1), ("b", 2, d2)]), path)
+    save_day(_frame(spark, [("c", 3, d2), ("zzz", 9, d1)]), path, "2026-07-02")
+    got = sorted(tuple(r) for r in read_partitioned(spark, path).select("k", "v", "dt").collect())
+    assert got == [("a", 1, d1), ("c", 3, d2)]
+    # empty overwrite replaces the day, keeps the schema readable
+    assert save_day(_frame(spark, [("x", 1, d1)]), path, "2026-07-02") is False
+    got = sorted(tuple(r) for r in read_partitioned(spark, path).select("k", "v", "dt").collect())
+    assert got == [("a", 1, d1)]
+    assert read_partitioned(spark, path).filter("dt = DATE'2026-07-02'").count() == 0
+
+
+def test_full_refresh_drops_days_absent_from_new_data(spark, tmp_path):
+    path = str(tmp_path / "f")
+    d1, d2 = dt.date(2026, 7, 1), dt.date(2026, 7, 2)
+    save_partitioned(_frame(spark, [("a", 1, d1), ("b", 2, d2)]), path)
+    save_partitioned(_frame(spark, [("c", 3, d1)]), path)
+    got = sorted(tuple(r) for r in read_partitioned(spark, path).select("k", "v", "dt").collect())
+    assert got == [("c", 3, d1)]
+
+
+def test_partitioned_write_needs_dt(spark, tmp_path):
+    with pytest.raises(ValueError):
+        save_partitioned(spark.createDataFrame([("a",)], "k string"), str(tmp_path / "x"))
+
+
+def test_write_empty_day_creates_folder(spark, tmp_path):
+    path = tmp_path / "f"
+    write_empty_day(_frame(spark, [("a", 1, dt.date(2026, 7, 1))]), str(path), "2099-01-01")
+    assert (path / "dt=2099-01-01").is_dir()
+    assert read_partitioned(spark, str(path)).count() == 0
+
+
+def test_day_filter_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "f")
+    save_partitioned(_frame(spark, [("a", 1, dt.date(2026, 7, 1)), ("b", 2, dt.date(2026, 7, 2))]), path)
+    plan = read_partitioned(spark, path).filter("dt = DATE'2026-07-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2026-07-02" in plan
+
+
+def test_adapter_prunes_columns(spark):
+    need_testdata()
+    ods = ods_from_tpch(spark, SF0001)
+    plan = ods.users._jdf.queryExecution().executedPlan().toString()
+    assert "c_name" not in plan and "c_acctbal" not in plan
+    plan = ods.items._jdf.queryExecution().executedPlan().toString()
+    assert "l_commitdate" not in plan and "p_brand" not in plan
+
+
+def test_read_ods_dir_roundtrip(spark, good_dir):
+    ods = read_ods_dir(spark, good_dir)
+    assert ods.orders.schema["pay_amount"].dataType == T.DecimalType(18, 2)
+    assert ods.items.schema["qty"].dataType == T.IntegerType()
+    assert (ods.users.count(), ods.orders.count(), ods.items.count()) == (2, 5, 5)
+    assert ods.orders.filter(F.col("pay_channel").isNull()).count() == 0
