@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martflow.operators import ads, dwd, dws
 from martflow.operators.gates import QualityError, check_gates, gate_report
-from martflow.operators.reconcile import reconcile_report, reconcile_verdict
+from martflow.operators.reconcile import REPORT_COLUMNS, reconcile_report, reconcile_verdict
 from martflow.operators.slicing import day_slice, parse_day
 from martflow.schema import DWD_ORDER_TYPES
 from martflow.sinks.warehouse import save_csv, save_day, save_partitioned, save_table
-from martflow.sources.ods_csv import Ods
+from martflow.sources.ods_csv import Ods, read_text_csv
 from martflow.sources.warehouse import read_partitioned, read_table
 
 OK, BAD_DAY, FAILED = 0, 1, 2
@@ -63,6 +63,10 @@ class Warehouse:
     def kpi_overview(self) -> str:
         return self.path("ads/kpi_overview")
 
+    @property
+    def ods_stage(self) -> str:
+        return self.path("ods_stage")
+
     @property
     def kpi_csv(self) -> str:
         return self.path("ads/ads_kpi_overview_csv")
@@ -114,6 +118,18 @@ def build_layers(ods: Ods, check: bool = True) -> Layers:
     )
 
 
+def stage_ods(spark: SparkSession, ods: Ods, path: str) -> Ods:
+    """Materialise the ODS once as parquet and read it back.
+
+    The gates and the DWD build then scan columnar, pruned copies instead of
+    re-parsing (or re-deriving) the sources on every pass, and the lineage of
+    everything downstream starts at these files.
+    """
+    for name, df in zip(Ods._fields, ods):
+        save_table(df, f"{path}/{name}")
+    return Ods(*[read_table(spark, f"{path}/{name}") for name in Ods._fields])
+
+
 def _gate(ods: Ods) -> RunResult | None:
     report = gate_report(*ods)
     try:
@@ -134,8 +150,8 @@ def publish_ads(spark: SparkSession, wh: Warehouse) -> RunResult:
     kpi = read_table(spark, wh.kpi_overview)
     save_csv(kpi, wh.kpi_csv)
     save_csv(daily.orderBy("dt"), wh.repurchase_csv)
-    report = reconcile_report(fo, ud, kpi, daily)
-    save_csv(report, wh.reconcile_csv)
+    save_csv(reconcile_report(fo, ud, kpi, daily), wh.reconcile_csv)
+    report = read_text_csv(spark, wh.reconcile_csv, REPORT_COLUMNS)
     verdict = reconcile_verdict(report).first()
     status = OK if verdict["verdict"] == "PASS" else FAILED
     return RunResult(
@@ -147,9 +163,11 @@ def publish_ads(spark: SparkSession, wh: Warehouse) -> RunResult:
     )
 
 
-def run_full(spark: SparkSession, ods: Ods, warehouse: str) -> RunResult:
+def run_full(spark: SparkSession, ods: Ods, warehouse: str, stage: bool = True) -> RunResult:
     """Gates, then a full rewrite of every layer, then ADS and reconcile."""
     wh = Warehouse(warehouse)
+    if stage:
+        ods = stage_ods(spark, ods, wh.ods_stage)
     failed = _gate(ods)
     if failed is not None:
         return failed
@@ -165,7 +183,12 @@ def run_full(spark: SparkSession, ods: Ods, warehouse: str) -> RunResult:
 
 
 def run_day(
-    spark: SparkSession, ods: Ods, warehouse: str, day: str, allow_empty: bool = False
+    spark: SparkSession,
+    ods: Ods,
+    warehouse: str,
+    day: str,
+    allow_empty: bool = False,
+    stage: bool = True,
 ) -> RunResult:
     """Re-run one day: gates on the day slice, overwrite only ``dt=day`` of
     every fact (an empty day only with ``allow_empty``), refresh the user
@@ -176,6 +199,8 @@ def run_day(
         return RunResult(BAD_DAY, str(err))
     wh = Warehouse(warehouse)
     sl = day_slice(ods, day)
+    if stage:
+        sl = stage_ods(spark, sl, wh.ods_stage)
     if not allow_empty and sl.orders.isEmpty():
         return RunResult(FAILED, f"no orders for dt={day}; pass allow_empty to overwrite it empty")
     failed = _gate(sl)

@@ -154,8 +154,9 @@ def test_negative_pay_fails_the_run(spark, tmp_path):
         check_gates(gate_report(*ods))
     assert err.value.gate == "ods_orders.pay_amount" and err.value.bad_rows == 1
     result = run_full(spark, ods, str(tmp_path / "wh"))
-    assert result.status == FAILED
-    assert not (tmp_path / "wh").exists()  # nothing written
+    assert result.status == FAILED and "ods_orders.pay_amount" in result.message
+    for layer in ("dwd", "dws", "ads"):  # nothing past the gates is written
+        assert not (tmp_path / "wh" / layer).exists()
 
 
 def test_orphan_user_fails(spark):
