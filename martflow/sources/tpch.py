@@ -98,7 +98,7 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_header(o: DataFrame) -> list:
+def _order_header() -> list:
     return [
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -136,7 +136,7 @@ def ods_from_tpch(spark: SparkSession, sf_dir: str) -> Ods:
     unpaid_like = F.col("status").isin("cancelled", "unpaid")
     ods_orders = (
         orders.join(totals, orders.o_orderkey == totals.l_orderkey, "left")
-        .select(*_order_header(orders), status.alias("status"), "item_sum", "ret_sum",
+        .select(*_order_header(), status.alias("status"), "item_sum", "ret_sum",
                 *_order_tail())
         .select(
             "order_id", "user_id", "order_ts", "status",
@@ -172,7 +172,7 @@ def raw_ods_from_tpch(spark: SparkSession, sf_dir: str) -> Ods:
         .otherwise("paid")
     )
     raw_orders = orders.select(
-        *_order_header(orders),
+        *_order_header(),
         status.alias("status"),
         F.col("o_totalprice").cast(MONEY).alias("pay_amount"),
         F.lit(0).cast(MONEY).alias("refund_amount"),
