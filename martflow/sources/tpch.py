@@ -27,7 +27,7 @@ the line sums and the order join reuse that ``l_orderkey`` partitioning.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: F401
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,10 +52,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _cents(amount: Column) -> Column:
-    return (amount * 100).cast("long")
-
-
 def _unit_price(scale_digits: int) -> Column:
     """amount / qty rounded half-up to ``scale_digits`` decimals, exactly.
 
