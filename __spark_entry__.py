@@ -432,8 +432,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_ads_repurchase_7d(spark, FLAGSHIP_SF)
 
 
+def _training_data():
+    """Queries and SQL of the optional ``llm`` subpackage and the pipeline on top
+    of it; nothing if the subpackage is not there."""
+    import importlib.util
+
+    if importlib.util.find_spec("martflow.llm") is None:
+        return {}, {}
+    from martflow.llm import queries as module
+
+    found, sql = dict(module.QUERIES), dict(module.ORACLE_SQL)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def _gates(source: str, names) -> str:
@@ -452,6 +471,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST({c} AS VARCHAR) AS {c}" if c in ids else c for c in cols.split(", ")
     )
     return {
+        **_training_data()[1],
         "dwd_dim_user": with_ctes("SELECT * FROM dwd_dim_user"),
         "dwd_fact_order": with_ctes(f"SELECT {order} FROM dwd_fact_order"),
         "dwd_fact_order_item": with_ctes(f"SELECT {item} FROM dwd_fact_order_item"),

@@ -36,12 +36,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local runs, tests) is a private
-    temporary folder created and registered as the checkpoint directory.
+    Only when the session names none and runs in one process (local runs,
+    tests) is a private temporary folder made; on a cluster a folder of the
+    driver's machine would be out of the executors' reach, so that is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="martflow-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
