@@ -6,6 +6,11 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .golay_dedup import near_duplicates
+from .quality_rules import quality_scores
+
+
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -14,6 +19,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
