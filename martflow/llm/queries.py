@@ -6,20 +6,38 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .golay_dedup import near_duplicates
+from .packing import packed
+from .pfair_mix import mix_order
 from .quality_rules import quality_scores
+from .string_tiling import contaminated
+
+
+def op1_pfair_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_order(table(spark, sf, "documents"))
+
+
+def op2_packed_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return packed(table(spark, sf, "documents"))
 
 
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = near_duplicates(table(spark, sf, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_pfair_mix": op1_pfair_mix,
+    "op2_packed_tokens": op2_packed_tokens,
     "op3_quality_rules": op3_quality_rules,
+    "op6_string_tiling": op6_string_tiling,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
