@@ -8,6 +8,7 @@ from .common import table
 from .golay_dedup import near_duplicates
 from .packing import packed
 from .pfair_mix import mix_order
+from .pii_bootstrap import KINDS, personal_data, spans_text
 from .quality_rules import quality_scores
 from .string_tiling import contaminated
 
@@ -28,6 +29,18 @@ def op6_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op9_pii_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
+    found = personal_data(table(spark, sf, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long")
+
+    of_kind = [count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    every = F.array_sort(F.concat("base", "extra"))
+    return found.select("doc_id", *of_kind, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(every).alias("spans"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = near_duplicates(table(spark, sf, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,6 +51,7 @@ QUERIES = {
     "op2_packed_tokens": op2_packed_tokens,
     "op3_quality_rules": op3_quality_rules,
     "op6_string_tiling": op6_string_tiling,
+    "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
