@@ -4,7 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import formatted, read_back
 from .common import table
+from .cover_tree import top_products
 from .golay_dedup import near_duplicates
 from .packing import packed
 from .pfair_mix import mix_order
@@ -29,6 +31,18 @@ def op6_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    said = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(1, 3).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") == 1, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return read_back(formatted(turns))
+
+
+def op8_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return top_products(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_pii_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     found = personal_data(table(spark, sf, "documents"))
 
@@ -51,6 +65,8 @@ QUERIES = {
     "op2_packed_tokens": op2_packed_tokens,
     "op3_quality_rules": op3_quality_rules,
     "op6_string_tiling": op6_string_tiling,
+    "op7_chat_format": op7_chat_format,
+    "op8_cover_tree": op8_cover_tree,
     "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
