@@ -8,6 +8,7 @@ from .chat_format import formatted, read_back
 from .common import table
 from .cover_tree import top_products
 from .golay_dedup import near_duplicates
+from .html_wrapper import main_texts
 from .packing import packed
 from .pfair_mix import mix_order
 from .pii_bootstrap import KINDS, personal_data, spans_text
@@ -27,6 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op4_html_wrapper(spark: SparkSession, sf: str) -> DataFrame:
+    return main_texts(table(spark, sf, "pages"))
+
+
 def op6_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op1_pfair_mix": op1_pfair_mix,
     "op2_packed_tokens": op2_packed_tokens,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_wrapper": op4_html_wrapper,
     "op6_string_tiling": op6_string_tiling,
     "op7_chat_format": op7_chat_format,
     "op8_cover_tree": op8_cover_tree,
