@@ -14,6 +14,7 @@ from .pfair_mix import mix_order
 from .pii_bootstrap import KINDS, personal_data, spans_text
 from .quality_rules import quality_scores
 from .string_tiling import contaminated
+from .toxic_grammar import toxic_scores
 
 
 def op1_pfair_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op4_html_wrapper(spark: SparkSession, sf: str) -> DataFrame:
     return main_texts(table(spark, sf, "pages"))
 
 
+def op5_toxic_grammar(spark: SparkSession, sf: str) -> DataFrame:
+    return toxic_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op6_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op2_packed_tokens": op2_packed_tokens,
     "op3_quality_rules": op3_quality_rules,
     "op4_html_wrapper": op4_html_wrapper,
+    "op5_toxic_grammar": op5_toxic_grammar,
     "op6_string_tiling": op6_string_tiling,
     "op7_chat_format": op7_chat_format,
     "op8_cover_tree": op8_cover_tree,
