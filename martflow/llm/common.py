@@ -20,6 +20,11 @@ def text_of(df: DataFrame, name: str) -> Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

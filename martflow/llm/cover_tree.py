@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-BLOCK, QUERY_BLOCK, LEAF, SCALE = 4096, 1024, 48, 1024
+BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, SCALE = 4096, 1024, 48, 4, 1024
 EXACT = 1 << 52  # products below this are exact in doubles
 
 
@@ -31,14 +31,15 @@ class Node:
     children: list["Node"] = field(default_factory=list)
 
 
-def build(points: np.ndarray, rows: np.ndarray, radius: float | None = None) -> Node:
+def build(points: np.ndarray, rows: np.ndarray, leaf: int = LEAF) -> Node:
     """A cover tree over ``points[rows]``: the centres of a node's children are
     more than half its radius apart and every row is within that of its centre.
-    Nodes of few rows, or of equal ones, are leaves."""
+    Nodes of at most ``leaf`` rows, or of equal ones, are leaves; children that
+    would be leaves of very few rows are one leaf."""
     centre = int(rows[0])
     away = np.sqrt(((points[rows] - points[centre]) ** 2).sum(axis=1))
     node = Node(centre, float(away.max()) * (1 + 1e-9), rows)
-    if len(rows) <= LEAF or node.radius == 0:
+    if len(rows) <= leaf or node.radius == 0:
         return node
     cover, left, parts = node.radius / 2, rows, []
     while len(left):
@@ -46,16 +47,15 @@ def build(points: np.ndarray, rows: np.ndarray, radius: float | None = None) ->
         near = far <= cover
         parts.append(left[near])
         left = left[~near]
-        if len(parts) >= 64 and len(left) > LEAF:  # a wide level: the rest is one more node, covered by its own radius
+        if len(parts) >= 64 and len(left) > leaf:  # a wide level: the rest is one more node, covered by its own radius
             parts.append(left)
             break
-    if len(parts) == 1:
-        return node
-    small = [p for p in parts if len(p) <= 4]
-    node.children = [build(points, p) for p in parts if len(p) > 4]
-    if small:
-        node.children.append(build(points, np.concatenate(small)) if len(small) < len(parts) else
-                             Node(centre, node.radius, np.concatenate(small)))
+    few = leaf // 12
+    scattered = [p for p in parts if len(p) <= few]
+    node.children = [build(points, p, leaf) for p in parts if len(p) > few]
+    if scattered:
+        rest = np.concatenate(scattered)
+        node.children.append(Node(int(rest[0]), 2 * node.radius, rest))
     return node
 
 
@@ -126,7 +126,7 @@ def _search(queries, vectors, k: int):
                       for i, row in enumerate(v.tolist())], bool)
     v, vid = v[spare], vid[spare]
     search = Search(q, qid, v, vid, k, queries["floor"].to_numpy(np.float64))
-    search.run(build(search.qf, np.arange(len(q))), build(search.vf, np.arange(len(v))))
+    search.run(build(search.qf, np.arange(len(q)), QUERY_LEAF), build(search.vf, np.arange(len(v))))
     out = [(int(i), int(j), max(-(1 << 63), min((1 << 63) - 1, int(s))))
            for i, js, ss in zip(qid, search.found, search.scores, strict=True) for j, s in zip(js, ss, strict=True)]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-SALTS, WIDEST = 32, 48  # second-round groups of a host; items of one level before it is held as a bag
+# Second-round groups of a host; items of one level before it is held as a bag; levels, deeper blocks are one text each.
+SALTS, WIDEST, DEEPEST = 32, 48, 80
 
 # HTML's kinds of elements, and names that sites give to what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,7 +45,8 @@ CLOSED_BY = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "
              "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table body html article main section div nav footer aside header td th".split())
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
+                    r"|</?[a-zA-Z][^<>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 WORD = re.compile(r"[a-z]+")
 
@@ -80,7 +82,7 @@ def blocks_of(page: str) -> Block:
     """The page as a tree of blocks; unclosed and misnested elements are closed
     by the next element that cannot be inside them."""
     root = Block("#root", "")
-    stack, run, linked, links, raw = [root], [], 0, 0, ""
+    stack, deeper, run, linked, links = [root], [], [], 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -92,7 +94,7 @@ def blocks_of(page: str) -> Block:
 
     def say(text: str) -> None:
         nonlocal linked
-        if text and not raw:
+        if text:
             run.append(text)
             linked += len(text) if links else 0
 
@@ -116,14 +118,22 @@ def blocks_of(page: str) -> Block:
             if tag in ("br", "hr"):
                 say(" ")
         elif m[1]:
-            if any(b.tag == tag for b in stack[1:]):
+            if deeper and tag in deeper:
                 flush()
+                while deeper.pop() != tag:
+                    pass
+            elif any(b.tag == tag for b in stack[1:]):
+                flush()
+                deeper.clear()
                 links = 0
                 while stack.pop().tag != tag:
                     pass
         else:
             flush()
             links = 0
+            if len(stack) > DEEPEST:
+                deeper.append(tag)
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in CLOSED_BY.get(tag, ()):
                     del stack[i:]

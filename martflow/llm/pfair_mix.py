@@ -173,5 +173,5 @@ def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, id
     first = order.groupBy("mix_id", "mix_source").agg(F.min("mix_place").alias("mix_place"))
     same = docs[id_col].eqNullSafe(first["mix_id"]) & docs[source_col].cast("string").eqNullSafe(first["mix_source"])
     placed = docs.join(first, same)
-    return placed.repartitionByRange("mix_place").sortWithinPartitions("mix_place").select(
+    return placed.repartitionByRange(first["mix_place"]).sortWithinPartitions(first["mix_place"]).select(
         *[docs[c] for c in docs.columns])
