@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from duckdb_oracle import SLICE_CUTOFF, money, with_ctes  # noqa: E402
+from duckdb_oracle import SLICE_CUTOFF, fingerprint, money, with_ctes  # noqa: E402
 from martflow.operators import ads, dwd, dws, gates, reconcile  # noqa: E402
 from martflow.operators.fingerprint import distinct_days, partition_fingerprint  # noqa: E402
 from martflow.operators.slicing import day_slice  # noqa: E402
@@ -29,6 +30,8 @@ from martflow.plans.pipeline import OK, build_layers, run_day, run_full  # noqa:
 from martflow.schema import (  # noqa: E402
     DWD_ITEM_TYPES,
     DWD_ORDER_TYPES,
+    DWS_CATEGORY_TYPES,
+    DWS_USER_TYPES,
     conform,
 )
 from martflow.session import scratch_path  # noqa: E402
@@ -40,7 +43,8 @@ from martflow.sinks.warehouse import (  # noqa: E402
 )
 from martflow.sources.events import events_user_day, read_events  # noqa: E402
 from martflow.sources.ods_csv import read_ods_dir, read_text_csv  # noqa: E402
-from martflow.sources.tpch import ods_from_tpch, raw_ods_from_tpch  # noqa: E402
+from martflow.sources.dirty import dirty_ods_from_tpch  # noqa: E402
+from martflow.sources.tpch import ods_from_tpch, order_lines, raw_ods_from_tpch  # noqa: E402
 from martflow.sources.warehouse import (  # noqa: E402
     read_partitioned,
     read_partitioned_csv,
@@ -80,7 +84,26 @@ def _out(df: DataFrame) -> DataFrame:
 
 
 def _layers(spark: SparkSession, sf: str):
-    return build_layers(ods_from_tpch(spark, sf), check=False)
+    """The clean layers; the item fact comes from lines that carry their order."""
+    layers = build_layers(ods_from_tpch(spark, sf), check=False)
+    items = dwd.fact_order_item_from_lines(order_lines(spark, sf))
+    return replace(layers, fact_order_item=items, category_gmv_1d=dws.category_gmv_1d(items))
+
+
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    save_table(df, path)
+    return read_table(spark, path)
+
+
+def _stored_layers(spark: SparkSession, sf: str):
+    """The layers above a stored copy of the order fact and the user-days, for
+    queries that need them several times."""
+    fo = _stored(spark, dwd.fact_order(ods_from_tpch(spark, sf).orders), "fact_order")
+    ud = _stored(spark, dws.user_order_1d(fo), "user_order_1d")
+    daily = ads.repurchase_7d(ud)
+    return replace(_layers(spark, sf), fact_order=fo, user_order_1d=ud, repurchase_7d=daily,
+                   kpi_overview=ads.kpi_overview(fo, ud, daily))
 
 
 def _last_day(orders: DataFrame) -> str:
@@ -114,11 +137,11 @@ def q_ads_repurchase_7d(spark, sf):
 
 
 def q_repurchase_range_join(spark, sf):
-    return _out(ads.repurchase_7d_range_join(_layers(spark, sf).user_order_1d))
+    return _out(ads.repurchase_7d_range_join(_stored_layers(spark, sf).user_order_1d))
 
 
 def q_ads_kpi_overview(spark, sf):
-    return _out(_layers(spark, sf).kpi_overview)
+    return _out(_stored_layers(spark, sf).kpi_overview)
 
 
 def q_ads_repurchase_complete(spark, sf):
@@ -133,20 +156,33 @@ def q_events_repurchase_7d(spark, sf):
     return _out(ads.repurchase_7d(events_user_day(read_events(spark, sf))))
 
 
+def _report(lay, fact_order=None) -> DataFrame:
+    return reconcile.reconcile_report(fact_order if fact_order is not None else lay.fact_order, lay.user_order_1d,
+                                      lay.kpi_overview, lay.repurchase_7d)
+
+
 def q_gmv_reconcile_report(spark, sf):
-    lay = _layers(spark, sf)
-    return _out(
-        reconcile.reconcile_report(lay.fact_order, lay.user_order_1d, lay.kpi_overview,
-                                   lay.repurchase_7d)
-    )
+    return _out(_report(_stored_layers(spark, sf)))
+
+
+def q_gmv_reconcile_mismatch(spark, sf):
+    """The naive order fact against the clean DWS and ADS: checks that fail."""
+    return _out(_report(_stored_layers(spark, sf), dwd.fact_order(raw_ods_from_tpch(spark, sf).orders)))
+
+
+def q_reconcile_report_text(spark, sf):
+    """The report as it is stored: fixed-point text."""
+    return reconcile.report_text(_report(_stored_layers(spark, sf)))
 
 
 def q_reconcile_verdict(spark, sf):
-    lay = _layers(spark, sf)
-    report = reconcile.reconcile_report(
-        lay.fact_order, lay.user_order_1d, lay.kpi_overview, lay.repurchase_7d
-    )
-    return reconcile.reconcile_verdict(report)
+    return reconcile.reconcile_verdict(_report(_stored_layers(spark, sf)))
+
+
+def q_dws_user_order_1d_distinct(spark, sf):
+    """User-days of orders that no gate has seen, some of them twice."""
+    fact = dwd.fact_order(dirty_ods_from_tpch(spark, sf).orders)
+    return _out(dws.user_order_1d(fact, order_id_unique=False))
 
 
 # ------------------------------------------------------------------- gates
@@ -165,8 +201,12 @@ def _union(frames):
     return out
 
 
+def q_gate_report_dirty(spark, sf):
+    return gates.gate_report(*dirty_ods_from_tpch(spark, sf))
+
+
 def q_gate_not_null(spark, sf):
-    u, o, i = raw_ods_from_tpch(spark, sf)
+    u, o, i = dirty_ods_from_tpch(spark, sf)
     g = gates.GATES
     return _union([
         gates.not_null(u, gates.USER_REQUIRED, g[0]),
@@ -176,7 +216,7 @@ def q_gate_not_null(spark, sf):
 
 
 def q_gate_unique(spark, sf):
-    u, o, i = raw_ods_from_tpch(spark, sf)
+    u, o, i = dirty_ods_from_tpch(spark, sf)
     g = gates.GATES
     return _union([
         gates.unique(u, ["user_id"], g[1]),
@@ -186,7 +226,7 @@ def q_gate_unique(spark, sf):
 
 
 def q_gate_values_in(spark, sf):
-    u, o, _ = raw_ods_from_tpch(spark, sf)
+    u, o, _ = dirty_ods_from_tpch(spark, sf)
     g = gates.GATES
     return _union([
         gates.values_in(u, "gender", gates.GENDERS, g[2]),
@@ -196,25 +236,17 @@ def q_gate_values_in(spark, sf):
 
 
 def q_gate_non_negative(spark, sf):
-    _, o, i = raw_ods_from_tpch(spark, sf)
-    g = gates.GATES
-    return _union([
-        gates.non_negative(o, "pay_amount", g[7]),
-        gates.non_negative(i, "unit_price", g[15]),
-        gates.non_negative(i, "amount", g[16]),
-        gates.non_negative(o, "refund_amount", g[20]),
-        gates.non_negative(i, "refund_qty", g[21]),
-        gates.non_negative(i, "refund_amount", g[22]),
-    ])
+    _, o, i = dirty_ods_from_tpch(spark, sf)
+    return gates.non_negative_gates(o, i)
 
 
 def q_gate_positive(spark, sf):
-    _, _, i = raw_ods_from_tpch(spark, sf)
+    _, _, i = dirty_ods_from_tpch(spark, sf)
     return gates.positive(i, "qty", gates.GATES[14])
 
 
 def q_gate_fk(spark, sf):
-    u, o, i = raw_ods_from_tpch(spark, sf)
+    u, o, i = dirty_ods_from_tpch(spark, sf)
     g = gates.GATES
     return _union([
         gates.foreign_key(o, u, "user_id", g[11]),
@@ -223,27 +255,27 @@ def q_gate_fk(spark, sf):
 
 
 def q_gate_amount_vs_items(spark, sf):
-    _, o, i = raw_ods_from_tpch(spark, sf)
+    _, o, i = dirty_ods_from_tpch(spark, sf)
     return gates.amount_match(o, i)
 
 
 def q_gate_line_amount(spark, sf):
-    _, _, i = raw_ods_from_tpch(spark, sf)
+    _, _, i = dirty_ods_from_tpch(spark, sf)
     return gates.line_amount(i)
 
 
 def q_gate_ts_dt(spark, sf):
-    _, o, _ = raw_ods_from_tpch(spark, sf)
+    _, o, _ = dirty_ods_from_tpch(spark, sf)
     return gates.ts_dt_alignment(o)
 
 
 def q_gate_refund_rules(spark, sf):
-    _, o, i = raw_ods_from_tpch(spark, sf)
+    _, o, i = dirty_ods_from_tpch(spark, sf)
     return gates.refund_rules(o, i)
 
 
 def q_gate_refund_vs_items(spark, sf):
-    _, o, i = raw_ods_from_tpch(spark, sf)
+    _, o, i = dirty_ods_from_tpch(spark, sf)
     return gates.refund_vs_items(o, i)
 
 
@@ -254,6 +286,11 @@ def q_ods_day_slice(spark, sf):
     return _out(day_slice(ods, day).items)
 
 
+def q_ods_day_slice_orders(spark, sf):
+    ods = ods_from_tpch(spark, sf)
+    return _out(day_slice(ods, _last_day(ods.orders)).orders)
+
+
 # -------------------------------------------------------- storage round trips
 def q_partition_full_refresh(spark, sf):
     root = scratch_path(spark, "partition_full_refresh")
@@ -337,6 +374,20 @@ def q_conform_schema(spark, sf):
     return _out(conform(read_text_csv(spark, root, ITEM_COLS), DWD_ITEM_TYPES))
 
 
+def _through_csv(spark, df, name, types):
+    root = scratch_path(spark, name)
+    save_csv(df, root)
+    return _out(conform(read_text_csv(spark, root, tuple(df.columns)), types))
+
+
+def q_conform_user_day(spark, sf):
+    return _through_csv(spark, _layers(spark, sf).user_order_1d, "conform_user_day", DWS_USER_TYPES)
+
+
+def q_conform_category_day(spark, sf):
+    return _through_csv(spark, _layers(spark, sf).category_gmv_1d, "conform_category_day", DWS_CATEGORY_TYPES)
+
+
 def q_ods_csv_roundtrip(spark, sf):
     """The ODS written as the three headered CSV inputs, loaded back by the
     CSV source, and built into the item fact."""
@@ -371,6 +422,13 @@ def q_pipeline_full(spark, sf):
     return _out(result.kpi.select(F.lit(result.status).alias("status"), *KPI_COLS))
 
 
+def q_pipeline_gate_failure(spark, sf):
+    """A run on the naive ODS: it stops at the first failing gate and writes nothing."""
+    result = run_full(spark, raw_ods_from_tpch(spark, sf), scratch_path(spark, "pipeline_gate_failure"))
+    failed = gates.first_failure(result.gates)
+    return failed.select(F.lit(result.status).alias("status"), "gate", "bad_rows")
+
+
 def q_pipeline_day_rerun(spark, sf):
     """Full run, then the last day re-run; ADS is rebuilt from the stored
     partitions and must equal the full-refresh result."""
@@ -389,6 +447,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dwd_fact_order": q_dwd_fact_order,
     "dwd_fact_order_item": q_dwd_fact_order_item,
     "dws_user_order_1d": q_dws_user_order_1d,
+    "dws_user_order_1d_distinct": q_dws_user_order_1d_distinct,
     "dws_category_gmv_1d": q_dws_category_gmv_1d,
     "ads_repurchase_7d": q_ads_repurchase_7d,
     "repurchase_range_join": q_repurchase_range_join,
@@ -397,9 +456,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_repurchase_head": q_ads_repurchase_head,
     "events_repurchase_7d": q_events_repurchase_7d,
     "gmv_reconcile_report": q_gmv_reconcile_report,
+    "gmv_reconcile_mismatch": q_gmv_reconcile_mismatch,
+    "reconcile_report_text": q_reconcile_report_text,
     "reconcile_verdict": q_reconcile_verdict,
     "gate_report": q_gate_report,
     "gate_report_raw": q_gate_report_raw,
+    "gate_report_dirty": q_gate_report_dirty,
     "gate_not_null": q_gate_not_null,
     "gate_unique": q_gate_unique,
     "gate_values_in": q_gate_values_in,
@@ -412,6 +474,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gate_refund_rules": q_gate_refund_rules,
     "gate_refund_vs_items": q_gate_refund_vs_items,
     "ods_day_slice": q_ods_day_slice,
+    "ods_day_slice_orders": q_ods_day_slice_orders,
     "partition_full_refresh": q_partition_full_refresh,
     "partition_overwrite_day": q_partition_overwrite_day,
     "partition_overwrite_empty": q_partition_overwrite_empty,
@@ -420,9 +483,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_fingerprint": q_partition_fingerprint,
     "dim_full_refresh": q_dim_full_refresh,
     "conform_schema": q_conform_schema,
+    "conform_user_day": q_conform_user_day,
+    "conform_category_day": q_conform_category_day,
     "ods_csv_roundtrip": q_ods_csv_roundtrip,
     "report_csv_roundtrip": q_report_csv_roundtrip,
     "pipeline_full": q_pipeline_full,
+    "pipeline_gate_failure": q_pipeline_gate_failure,
     "pipeline_day_rerun": q_pipeline_day_rerun,
 }
 
@@ -499,19 +565,51 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN COUNT(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END "
             "AS verdict FROM rc_report"
         ),
+        "gmv_reconcile_mismatch": with_ctes("SELECT * FROM rcbad_report"),
+        "reconcile_report_text": with_ctes(
+            "SELECT scope, left_layer, right_layer, CAST(CAST(l AS DECIMAL(38,2)) AS VARCHAR) AS left_gmv, "
+            "CAST(CAST(r AS DECIMAL(38,2)) AS VARCHAR) AS right_gmv, "
+            "CAST(CAST(abs(l - r) AS DECIMAL(38,4)) AS VARCHAR) AS abs_diff, '0.0100' AS tolerance, "
+            "CASE WHEN abs(l - r) <= 0.01 THEN 'PASS' ELSE 'FAIL' END AS status FROM rc_rows"
+        ),
+        "dws_user_order_1d_distinct": with_ctes(
+            "SELECT user_id, dt, order_cnt, paid_order_cnt, CAST(gmv AS DOUBLE) AS gmv, "
+            "is_paid_buyer FROM dirty_user_order_1d"
+        ),
+        "gate_report_dirty": with_ctes("SELECT * FROM gates_dirty"),
+        "ods_day_slice_orders": with_ctes(
+            "SELECT order_id, user_id, order_ts, status, CAST(pay_amount AS DOUBLE) AS pay_amount, "
+            "CAST(refund_amount AS DOUBLE) AS refund_amount, pay_channel, dt FROM ods_orders "
+            f"WHERE dt = {last}"
+        ),
+        "conform_user_day": with_ctes(
+            "SELECT CAST(user_id AS VARCHAR) AS user_id, dt, order_cnt, paid_order_cnt, "
+            "CAST(gmv AS DOUBLE) AS gmv, is_paid_buyer FROM dws_user_order_1d"
+        ),
+        "conform_category_day": with_ctes(
+            "SELECT category, dt, CAST(gmv AS DOUBLE) AS gmv, gross_qty, refund_qty, net_qty, qty "
+            "FROM dws_category_gmv_1d"
+        ),
+        "partition_fingerprint": with_ctes(
+            f"SELECT dt, COUNT(*) AS rows, {fingerprint(c for c in ORDER_COLS if c != 'dt')} AS fingerprint, "
+            "TRUE AS unchanged FROM dwd_fact_order GROUP BY dt"
+        ),
+        "pipeline_gate_failure": with_ctes(
+            "SELECT 2 AS status, gate, bad_rows FROM gates_raw WHERE bad_rows > 0 ORDER BY ordinal LIMIT 1"
+        ),
         "gate_report": with_ctes("SELECT * FROM gates_clean"),
         "gate_report_raw": with_ctes("SELECT * FROM gates_raw"),
-        "gate_not_null": _gates("gates_raw", (g[0], g[4], g[12])),
-        "gate_unique": _gates("gates_raw", (g[1], g[5], g[13])),
-        "gate_values_in": _gates("gates_raw", (g[2], g[3], g[6])),
-        "gate_non_negative": _gates("gates_raw", (g[7], g[15], g[16], g[20], g[21], g[22])),
-        "gate_positive": _gates("gates_raw", (g[14],)),
-        "gate_fk": _gates("gates_raw", (g[11], g[18])),
-        "gate_amount_vs_items": _gates("gates_raw", (g[19],)),
-        "gate_line_amount": _gates("gates_raw", (g[17],)),
-        "gate_ts_dt": _gates("gates_raw", g[8:11]),
-        "gate_refund_rules": _gates("gates_raw", g[20:28]),
-        "gate_refund_vs_items": _gates("gates_raw", (g[26],)),
+        "gate_not_null": _gates("gates_dirty", (g[0], g[4], g[12])),
+        "gate_unique": _gates("gates_dirty", (g[1], g[5], g[13])),
+        "gate_values_in": _gates("gates_dirty", (g[2], g[3], g[6])),
+        "gate_non_negative": _gates("gates_dirty", (g[7], g[15], g[16], g[20], g[21], g[22])),
+        "gate_positive": _gates("gates_dirty", (g[14],)),
+        "gate_fk": _gates("gates_dirty", (g[11], g[18])),
+        "gate_amount_vs_items": _gates("gates_dirty", (g[19],)),
+        "gate_line_amount": _gates("gates_dirty", (g[17],)),
+        "gate_ts_dt": _gates("gates_dirty", g[8:11]),
+        "gate_refund_rules": _gates("gates_dirty", g[20:28]),
+        "gate_refund_vs_items": _gates("gates_dirty", (g[26],)),
         "ods_day_slice": with_ctes(
             "SELECT order_item_id, order_id, sku_id, sku_name, category, qty, "
             "CAST(unit_price AS DOUBLE) AS unit_price, CAST(amount AS DOUBLE) AS amount, "

@@ -25,9 +25,10 @@ def _day_bin(day: Column, width: int) -> Column:
     return F.floor(F.unix_date(day) / F.lit(width))
 
 
-def _finish(per_day: DataFrame, window_days: int) -> DataFrame:
+def _finish(per_day: DataFrame, window_days: int, last: DataFrame | None = None) -> DataFrame:
     """per_day(dt, buyers, repurchase_users, gmv) over *all* days -> daily rows."""
-    last = per_day.agg(F.max("dt").alias("max_dt"))  # one row: safe to broadcast
+    if last is None:
+        last = per_day.agg(F.max("dt").alias("max_dt"))  # one row: safe to broadcast
     return (
         per_day.filter(F.col("buyers") > 0)
         .crossJoin(F.broadcast(last))
@@ -44,7 +45,11 @@ def _finish(per_day: DataFrame, window_days: int) -> DataFrame:
     )
 
 
-def repurchase_7d(user_day: DataFrame, window_days: int = REPURCHASE_WINDOW_DAYS) -> DataFrame:
+def repurchase_7d(
+    user_day: DataFrame,
+    window_days: int = REPURCHASE_WINDOW_DAYS,
+    last: DataFrame | None = None,
+) -> DataFrame:
     """Daily repurchase from a user-day table (user_id, dt, is_paid_buyer, gmv).
 
     The range self-join of the definition is rewritten as one window: per user,
@@ -71,7 +76,25 @@ def repurchase_7d(user_day: DataFrame, window_days: int = REPURCHASE_WINDOW_DAYS
         F.count_if("repurchased").alias("repurchase_users"),
         F.sum("gmv").alias("gmv"),
     )
-    return _finish(per_day, window_days)
+    return _finish(per_day, window_days, last)
+
+
+def repurchase_after_day(
+    user_day: DataFrame, stored: DataFrame, day: str, window_days: int = REPURCHASE_WINDOW_DAYS
+) -> DataFrame:
+    """The daily table after ``day`` of ``user_day`` changed, from the ``stored``
+    one: only cohorts from ``window_days`` before up to the day can differ, and
+    they depend on user-days up to ``window_days`` behind it, so a
+    day-partitioned ``user_day`` is read there alone (and its days for the last
+    one).  ``window_complete`` is set anew on every row."""
+    changed = F.lit(day).cast("date")
+    low, high = F.date_sub(changed, window_days), F.date_add(changed, window_days)
+    last = user_day.agg(F.max("dt").alias("max_dt"))
+    near = repurchase_7d(user_day.filter(F.col("dt").between(low, high)), window_days, last)
+    fresh = near.filter(F.col("dt").between(low, changed))
+    kept = stored.filter(~F.col("dt").between(low, changed)).crossJoin(F.broadcast(last)).withColumn(
+        "window_complete", F.when(F.date_add("dt", window_days) <= F.col("max_dt"), 1).otherwise(0))
+    return kept.select(*DAILY_COLUMNS).unionByName(fresh.select(*DAILY_COLUMNS))
 
 
 def repurchase_7d_range_join(

@@ -1,7 +1,7 @@
 """DWD: typed, cleaned facts and the user dimension (one grain per table)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,19 +50,34 @@ def fact_order_item(items: DataFrame, orders_fact: DataFrame) -> DataFrame:
     and net; ``net_amount = amount - refund_amount``.
     """
     header = orders_fact.select("order_id", "user_id", "dt", "is_paid")
+    return _item_columns(_typed_items(items).join(header, "order_id", "inner"))
+
+
+def fact_order_item_from_lines(lines: DataFrame) -> DataFrame:
+    """The same fact from lines that already carry ``user_id``, ``status`` and
+    ``dt`` of their order; lines without an order are left out."""
+    inherited = [F.col("user_id"), F.col("dt"), paid_flag(F.col("status")).alias("is_paid")]
+    return _item_columns(_typed_items(lines.filter(F.col("status").isNotNull()), inherited))
+
+
+def _typed_items(items: DataFrame, more: list[Column] | None = None) -> DataFrame:
     qty = as_type(items, "qty", T.IntegerType())
     refund_qty = as_type(items, "refund_qty", T.IntegerType())
     amount = as_type(items, "amount", MONEY)
     refund_amount = as_type(items, "refund_amount", MONEY)
-    typed = items.select(
+    return items.select(
         "order_item_id", "order_id", "sku_id", "sku_name", "category",
         qty.alias("qty"),
         as_type(items, "unit_price", PRICE).alias("unit_price"),
         amount.alias("amount"),
         refund_qty.alias("refund_qty"),
         refund_amount.alias("refund_amount"),
+        *(more or []),
     )
-    return typed.join(header, "order_id", "inner").select(
+
+
+def _item_columns(joined: DataFrame) -> DataFrame:
+    return joined.select(
         "order_item_id", "order_id", "user_id", "dt", "sku_id", "sku_name", "category",
         "qty",
         F.col("qty").alias("gross_qty"),

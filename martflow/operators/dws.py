@@ -4,8 +4,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.functions.columns import MONEY
-
 
 def user_order_1d(orders_fact: DataFrame, order_id_unique: bool = True) -> DataFrame:
     """user x day: all orders, paid orders, paid net GMV, paid-buyer flag.
@@ -25,7 +23,7 @@ def user_order_1d(orders_fact: DataFrame, order_id_unique: bool = True) -> DataF
     return orders_fact.groupBy("user_id", "dt").agg(
         order_cnt.alias("order_cnt"),
         paid_cnt.alias("paid_order_cnt"),
-        F.sum(F.when(paid, F.col("net_gmv")).otherwise(0)).cast(MONEY).alias("gmv"),
+        F.sum(F.when(paid, F.col("net_gmv")).otherwise(0)).alias("gmv"),
         F.max("is_paid").alias("is_paid_buyer"),
     )
 
@@ -42,7 +40,7 @@ def category_gmv_1d(items_fact: DataFrame) -> DataFrame:
     return (
         items_fact.groupBy("category", "dt")
         .agg(
-            paid_sum("net_amount").cast(MONEY).alias("gmv"),
+            paid_sum("net_amount").alias("gmv"),
             paid_sum("gross_qty").alias("gross_qty"),
             paid_sum("refund_qty").alias("refund_qty"),
             paid_sum("net_qty").alias("net_qty"),

@@ -22,56 +22,44 @@ REPORT_COLUMNS = (
 _WIDE = T.DecimalType(38, 2)
 
 
-def _check(df: DataFrame, block: int, seq: int, scope, left: str, right: str, a, b) -> DataFrame:
-    return df.select(
-        F.lit(block).alias("_block"),
-        (F.col("dt") if "dt" in df.columns else F.lit(None).cast("date")).alias("_dt"),
-        F.lit(seq).alias("_seq"),
-        scope.alias("scope"),
-        F.lit(left).alias("left_layer"),
-        F.lit(right).alias("right_layer"),
-        F.coalesce(a, F.lit(0)).cast(_WIDE).alias("left_gmv"),
-        F.coalesce(b, F.lit(0)).cast(_WIDE).alias("right_gmv"),
-    )
-
-
 def reconcile_report(
     orders_fact: DataFrame, user_day: DataFrame, kpi: DataFrame, daily: DataFrame
 ) -> DataFrame:
-    """The ordered check report; nothing is collected to the driver."""
+    """The ordered check report; nothing is collected to the driver.
+
+    One frame holds the sums of every day; the day checks are stacked from its
+    rows and the totals are its sums, so each layer is aggregated once.
+    """
     paid = F.col("is_paid") == 1
     dwd_day = orders_fact.groupBy("dt").agg(
         F.sum(F.when(paid, F.col("net_gmv")).otherwise(0)).alias("dwd")
     )
     dws_day = user_day.groupBy("dt").agg(F.sum("gmv").alias("dws"))
     ads_day = daily.select("dt", F.col("gmv").alias("ads"))
+    day = dwd_day.join(dws_day, "dt", "full_outer").join(ads_day, "dt", "full_outer")
+    totals = day.agg(money_sum(F.col("dwd")).alias("dwd"), money_sum(F.col("dws")).alias("dws")).crossJoin(
+        F.broadcast(kpi.select(F.col("gmv_total").alias("ads")))
+    )
 
-    totals = (
-        dwd_day.agg(money_sum(F.col("dwd")).alias("dwd"))
-        .crossJoin(dws_day.agg(money_sum(F.col("dws")).alias("dws")))
-        .crossJoin(kpi.select(F.col("gmv_total").alias("ads")))
+    def check(block: int, seq: int, scope, left: str, right: str):
+        wide = [F.coalesce(F.col(c), F.lit(0)).cast(_WIDE) for c in (left, right)]
+        return F.struct(
+            F.lit(block).alias("_block"), F.lit(seq).alias("_seq"), scope.alias("scope"),
+            F.lit(left).alias("left_layer"), F.lit(right).alias("right_layer"),
+            wide[0].alias("left_gmv"), wide[1].alias("right_gmv"),
+        )
+
+    total, of_day = F.lit("total"), F.concat(F.lit("day:"), F.col("dt").cast("string"))
+    # a day of ADS alone is in neither DWD nor DWS: it has no first check
+    in_both = F.when(F.col("dwd").isNotNull() | F.col("dws").isNotNull(), check(1, 0, of_day, "dwd", "dws"))
+    in_ads = F.when(F.col("ads").isNotNull(), check(2, 0, of_day, "dws", "ads"))
+    whole = F.array(*[check(0, i, total, a, b) for i, (a, b) in enumerate((("dwd", "dws"), ("dws", "ads"), ("dwd", "ads")))])
+    rows = totals.select(F.lit(None).cast("date").alias("_dt"), F.inline(whole)).unionByName(
+        day.select(F.col("dt").alias("_dt"), F.inline(F.array_compact(F.array(in_both, in_ads))))
     )
-    total = F.lit("total")
-    day_scope = F.concat(F.lit("day:"), F.col("dt").cast("string"))
-    checks = [
-        _check(totals, 0, 0, total, "dwd", "dws", F.col("dwd"), F.col("dws")),
-        _check(totals, 0, 1, total, "dws", "ads", F.col("dws"), F.col("ads")),
-        _check(totals, 0, 2, total, "dwd", "ads", F.col("dwd"), F.col("ads")),
-        _check(
-            dwd_day.join(dws_day, "dt", "full_outer"),
-            1, 0, day_scope, "dwd", "dws", F.col("dwd"), F.col("dws"),
-        ),
-        _check(
-            ads_day.join(dws_day, "dt", "left"),
-            2, 0, day_scope, "dws", "ads", F.col("dws"), F.col("ads"),
-        ),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
     diff = F.abs(F.col("left_gmv") - F.col("right_gmv")).cast(_WIDE)
     return (
-        out.withColumn("abs_diff", diff)
+        rows.withColumn("abs_diff", diff)
         .withColumn("tolerance", tolerance())
         .withColumn(
             "status", F.when(F.col("abs_diff") <= tolerance(), "PASS").otherwise("FAIL")
@@ -81,6 +69,15 @@ def reconcile_report(
     )
 
 
+def report_text(report: DataFrame) -> DataFrame:
+    """The report as text: sums with two decimals, differences and the tolerance with four."""
+    def fixed(name: str, decimals: int):
+        return F.col(name).cast(T.DecimalType(38, decimals)).cast("string").alias(name)
+
+    digits = {"left_gmv": 2, "right_gmv": 2, "abs_diff": 4, "tolerance": 4}
+    return report.select(*[fixed(c, digits[c]) if c in digits else F.col(c) for c in REPORT_COLUMNS])
+
+
 def reconcile_verdict(report: DataFrame) -> DataFrame:
     """One row: number of checks, failed checks, overall PASS/FAIL."""
     failed = F.count_if(F.col("status") == "FAIL")

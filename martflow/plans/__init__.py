@@ -10,5 +10,4 @@ from martflow.plans.pipeline import (  # noqa: F401
     publish_ads,
     run_day,
     run_full,
-    stage_ods,
 )

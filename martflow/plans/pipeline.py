@@ -1,24 +1,32 @@
 """End-to-end runs: full refresh and partition-scoped day re-run.
 
-Each layer is written once and read back before the next layer is built, so
-every later job starts from parquet instead of re-deriving the whole lineage
-from the sources, and a lost executor only costs the current layer's tasks.
-Nothing but the 28-row gate report and the one-row verdict reaches the driver.
+Every run works in a folder of its own below the session's checkpoint folder:
+there each layer is written once, flat, and read back before the next layer is
+built, so a lost executor only costs the current layer's tasks, runs side by
+side do not meet, and the warehouse is untouched until the gates have passed.
+The day folders are written from these copies.  Only gate names and counts, the
+list of written days and the one-row verdict reach the driver.
 
 Outcome codes: 0 ok; 1 malformed run day; 2 gate failure, empty day without
 ``allow_empty``, or reconcile failure.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.operators import ads, dwd, dws
 from martflow.operators.gates import QualityError, check_gates, gate_report
-from martflow.operators.reconcile import REPORT_COLUMNS, reconcile_report, reconcile_verdict
+from martflow.operators.reconcile import (
+    REPORT_COLUMNS,
+    reconcile_report,
+    reconcile_verdict,
+    report_text,
+)
 from martflow.operators.slicing import day_slice, parse_day
-from martflow.schema import DWD_ORDER_TYPES
+from martflow.schema import DWD_ORDER_TYPES, DWS_USER_TYPES
+from martflow.session import scratch_path
 from martflow.sinks.warehouse import save_csv, save_day, save_partitioned, save_table
 from martflow.sources.ods_csv import Ods, read_text_csv
 from martflow.sources.warehouse import read_partitioned, read_table
@@ -63,10 +71,6 @@ class Warehouse:
     def kpi_overview(self) -> str:
         return self.path("ads/kpi_overview")
 
-    @property
-    def ods_stage(self) -> str:
-        return self.path("ods_stage")
-
     @property
     def kpi_csv(self) -> str:
         return self.path("ads/ads_kpi_overview_csv")
@@ -88,7 +92,6 @@ class RunResult:
     kpi: DataFrame | None = None
     daily: DataFrame | None = None
     reconcile: DataFrame | None = None
-    extra: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -100,8 +103,8 @@ class Layers:
     fact_order_item: DataFrame
     user_order_1d: DataFrame
     category_gmv_1d: DataFrame
-    repurchase_7d: DataFrame
-    kpi_overview: DataFrame
+    repurchase_7d: DataFrame | None
+    kpi_overview: DataFrame | None
 
 
 def build_layers(ods: Ods, check: bool = True) -> Layers:
@@ -118,39 +121,43 @@ def build_layers(ods: Ods, check: bool = True) -> Layers:
     )
 
 
-def stage_ods(spark: SparkSession, ods: Ods, path: str) -> Ods:
-    """Materialise the ODS once as parquet and read it back.
-
-    The gates and the DWD build then scan columnar, pruned copies instead of
-    re-parsing (or re-deriving) the sources on every pass, and the lineage of
-    everything downstream starts at these files.
-    """
-    for name, df in zip(Ods._fields, ods):
-        save_table(df, f"{path}/{name}")
-    return Ods(*[read_table(spark, f"{path}/{name}") for name in Ods._fields])
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    save_table(df, path)
+    return read_table(df.sparkSession, path)
 
 
-def _gate(ods: Ods) -> RunResult | None:
-    report = gate_report(*ods)
+def _gated(ods: Ods, run: str) -> tuple[Ods, RunResult | None]:
+    """The ODS as this run's own copy, and the failed result if a gate fails.  The
+    report is stored with the run, so no later run changes it."""
+    own = Ods(*[_staged(df, f"{run}/ods/{name}") for name, df in zip(Ods._fields, ods)])
+    report = _staged(gate_report(*own), f"{run}/gates")
     try:
         check_gates(report)
     except QualityError as err:
-        return RunResult(FAILED, str(err), gates=report)
-    return None
+        return own, RunResult(FAILED, str(err), gates=report)
+    return own, None
 
 
-def publish_ads(spark: SparkSession, wh: Warehouse) -> RunResult:
-    """Rebuild ADS from every stored DWD/DWS partition, write the reports and
-    reconcile the three layers."""
-    fo = read_partitioned(spark, wh.fact_order, DWD_ORDER_TYPES)
-    ud = read_partitioned(spark, wh.user_order_1d)
-    save_table(ads.repurchase_7d(ud).orderBy("dt"), wh.repurchase_7d)
+def publish_ads(
+    spark: SparkSession, wh: Warehouse, fo: DataFrame, ud: DataFrame, day: str | None = None
+) -> RunResult:
+    """Write ADS and the reports and reconcile the three layers.
+
+    ``fo`` and ``ud`` are the whole order fact and user-days.  With ``day`` only
+    the cohorts that this day can change are computed and merged into the stored
+    daily table; without it all are.
+    """
+    if day is None:
+        daily = ads.repurchase_7d(ud)
+    else:
+        daily = ads.repurchase_after_day(ud, read_table(spark, wh.repurchase_7d), day)
+    save_table(daily.orderBy("dt"), wh.repurchase_7d)
     daily = read_table(spark, wh.repurchase_7d)
     save_table(ads.kpi_overview(fo, ud, daily), wh.kpi_overview)
     kpi = read_table(spark, wh.kpi_overview)
     save_csv(kpi, wh.kpi_csv)
     save_csv(daily.orderBy("dt"), wh.repurchase_csv)
-    save_csv(reconcile_report(fo, ud, kpi, daily), wh.reconcile_csv)
+    save_csv(report_text(reconcile_report(fo, ud, kpi, daily)), wh.reconcile_csv)
     report = read_text_csv(spark, wh.reconcile_csv, REPORT_COLUMNS)
     verdict = reconcile_verdict(report).first()
     status = OK if verdict["verdict"] == "PASS" else FAILED
@@ -163,23 +170,28 @@ def publish_ads(spark: SparkSession, wh: Warehouse) -> RunResult:
     )
 
 
-def run_full(spark: SparkSession, ods: Ods, warehouse: str, stage: bool = True) -> RunResult:
+def _built(ods: Ods, run: str) -> Layers:
+    """This run's flat copies of the stored layers."""
+    fo = _staged(dwd.fact_order(ods.orders), f"{run}/fact_order")
+    fi = _staged(dwd.fact_order_item(ods.items, fo), f"{run}/fact_order_item")
+    ud = _staged(dws.user_order_1d(fo), f"{run}/user_order_1d")
+    return Layers(dwd.dim_user(ods.users), fo, fi, ud,
+                  _staged(dws.category_gmv_1d(fi), f"{run}/category_gmv_1d"), None, None)
+
+
+def run_full(spark: SparkSession, ods: Ods, warehouse: str) -> RunResult:
     """Gates, then a full rewrite of every layer, then ADS and reconcile."""
-    wh = Warehouse(warehouse)
-    if stage:
-        ods = stage_ods(spark, ods, wh.ods_stage)
-    failed = _gate(ods)
+    wh, run = Warehouse(warehouse), scratch_path(spark, "run_full")
+    ods, failed = _gated(ods, run)
     if failed is not None:
         return failed
-    fo = dwd.fact_order(ods.orders)
-    save_table(dwd.dim_user(ods.users), wh.dim_user)
-    save_partitioned(fo, wh.fact_order)
-    save_partitioned(dwd.fact_order_item(ods.items, fo), wh.fact_order_item)
-    fo_stored = read_partitioned(spark, wh.fact_order)
-    fi_stored = read_partitioned(spark, wh.fact_order_item)
-    save_partitioned(dws.user_order_1d(fo_stored), wh.user_order_1d)
-    save_partitioned(dws.category_gmv_1d(fi_stored), wh.category_gmv_1d)
-    return publish_ads(spark, wh)
+    built = _built(ods, run)
+    save_table(built.dim_user, wh.dim_user)
+    save_partitioned(built.fact_order, wh.fact_order)
+    save_partitioned(built.fact_order_item, wh.fact_order_item)
+    save_partitioned(built.user_order_1d, wh.user_order_1d)
+    save_partitioned(built.category_gmv_1d, wh.category_gmv_1d)
+    return publish_ads(spark, wh, built.fact_order, built.user_order_1d)
 
 
 def run_day(
@@ -188,31 +200,28 @@ def run_day(
     warehouse: str,
     day: str,
     allow_empty: bool = False,
-    stage: bool = True,
+    full_ads: bool = False,
 ) -> RunResult:
     """Re-run one day: gates on the day slice, overwrite only ``dt=day`` of
     every fact (an empty day only with ``allow_empty``), refresh the user
-    dimension, then rebuild ADS from the whole warehouse."""
+    dimension, then bring ADS up to date (``full_ads``: from every stored day)."""
     try:
         day = parse_day(day)
     except ValueError as err:
         return RunResult(BAD_DAY, str(err))
-    wh = Warehouse(warehouse)
+    wh, run = Warehouse(warehouse), scratch_path(spark, "run_day")
     sl = day_slice(ods, day)
-    if stage:
-        sl = stage_ods(spark, sl, wh.ods_stage)
     if not allow_empty and sl.orders.isEmpty():
         return RunResult(FAILED, f"no orders for dt={day}; pass allow_empty to overwrite it empty")
-    failed = _gate(sl)
+    sl, failed = _gated(sl, run)
     if failed is not None:
         return failed
-    fo = dwd.fact_order(sl.orders)
-    save_table(dwd.dim_user(sl.users), wh.dim_user)
-    save_day(fo, wh.fact_order, day)
-    save_day(dwd.fact_order_item(sl.items, fo), wh.fact_order_item, day)
-    on_day = f"dt = DATE'{day}'"
-    fo_day = read_partitioned(spark, wh.fact_order).filter(on_day)
-    fi_day = read_partitioned(spark, wh.fact_order_item).filter(on_day)
-    save_day(dws.user_order_1d(fo_day), wh.user_order_1d, day)
-    save_day(dws.category_gmv_1d(fi_day), wh.category_gmv_1d, day)
-    return publish_ads(spark, wh)
+    built = _built(sl, run)
+    save_table(built.dim_user, wh.dim_user)
+    save_day(built.fact_order, wh.fact_order, day)
+    save_day(built.fact_order_item, wh.fact_order_item, day)
+    save_day(built.user_order_1d, wh.user_order_1d, day)
+    save_day(built.category_gmv_1d, wh.category_gmv_1d, day)
+    fo = read_partitioned(spark, wh.fact_order, DWD_ORDER_TYPES)
+    ud = read_partitioned(spark, wh.user_order_1d, DWS_USER_TYPES)
+    return publish_ads(spark, wh, fo, ud, None if full_ads else day)

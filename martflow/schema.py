@@ -25,6 +25,9 @@ ITEMS_COLUMNS = (
 )
 
 
+TOTAL = T.DecimalType(38, 2)  # sums of money
+
+
 def text_schema(columns) -> T.StructType:
     """All-string schema: CSV is read without inference, then cast explicitly."""
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
@@ -43,7 +46,6 @@ ODS_ITEMS_TYPES = _types(
 
 # Typed columns of the stored layers (used to re-type a table read back from
 # CSV, or from parquet written by another writer).
-DIM_USER_TYPES = _types(register_dt=T.DateType())
 DWD_ORDER_TYPES = _types(
     order_ts=T.TimestampNTZType(), pay_amount=MONEY, refund_amount=MONEY,
     net_gmv=MONEY, dt=T.DateType(), is_paid=T.IntegerType(),
@@ -54,11 +56,11 @@ DWD_ITEM_TYPES = _types(
     net_qty=T.IntegerType(), net_amount=MONEY, is_paid=T.IntegerType(),
 )
 DWS_USER_TYPES = _types(
-    dt=T.DateType(), order_cnt=T.LongType(), paid_order_cnt=T.LongType(), gmv=MONEY,
+    dt=T.DateType(), order_cnt=T.LongType(), paid_order_cnt=T.LongType(), gmv=TOTAL,
     is_paid_buyer=T.IntegerType(),
 )
 DWS_CATEGORY_TYPES = _types(
-    dt=T.DateType(), gmv=MONEY, gross_qty=T.LongType(), refund_qty=T.LongType(),
+    dt=T.DateType(), gmv=TOTAL, gross_qty=T.LongType(), refund_qty=T.LongType(),
     net_qty=T.LongType(), qty=T.LongType(),
 )
 

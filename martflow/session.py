@@ -19,14 +19,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Small local inputs: let AQE keep several writer tasks instead of
-        # coalescing a rebalanced write into one (large inputs are unaffected).
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
-        # Local disk: list thousands of day folders on the driver (a cluster
-        # keeps the distributed listing job for object stores), and pack many
-        # small day files into one read task.
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
-        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("MARTFLOW_DRIVER_MEMORY", "8g"))
         .getOrCreate()

@@ -1,44 +1,87 @@
 """Writers: whole-table overwrite, day-partitioned facts, single-day
 overwrite (including an explicitly empty day) and CSV reports.
 
-All writes go through Spark's file commit protocol; nothing is deleted by
-hand, so a failed or retried task never leaves a half-written day behind.
+Nothing that is stored is removed before the job that replaces it has
+committed: tables are written beside the old ones and switched, day folders are
+replaced one by one at the commit, and days that the new data lack go last.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.columns import as_date
 
 
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _switch(spark: SparkSession, new: str, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
+        raise OSError(f"{new} could not be moved to {path}")
+
+
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+
+
 def _with_day(df: DataFrame) -> DataFrame:
     if "dt" not in df.columns:
         raise ValueError("a partitioned write needs a dt column")
     return df.withColumn("dt", as_date(df, "dt"))
 
 
-def save_table(df: DataFrame, path: str) -> None:
-    """Whole-table overwrite (dimensions, ADS tables)."""
-    df.write.mode("overwrite").parquet(path)
-
-
-def save_partitioned(df: DataFrame, path: str) -> None:
-    """Full refresh of a day-partitioned fact: the old tree is replaced and
-    every day present in ``df`` is rewritten; days absent from ``df`` vanish.
+def _write_days(df: DataFrame, path: str) -> None:
+    """Write the days of ``df``, each replaced as a whole at the commit.
 
-    ``rebalance(dt)`` lets adaptive execution split a very large day over
-    several tasks and files and merge tiny days, instead of one task per day.
+    Rows are dealt by ranges of (day, row hash) into as many tasks as the session
+    shuffles to: small days share a task, a day that holds most rows is cut
+    into several, and no setting of adaptive execution can fold them into one.
     """
-    out = _with_day(df).hint("rebalance", "dt")
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = [c for c in df.columns if c != "dt"]
     (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
+        df.repartitionByRange(tasks, F.col("dt"), F.xxhash64(*rest))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
         .parquet(path)
     )
 
 
+def save_table(df: DataFrame, path: str) -> None:
+    """Whole-table overwrite (dimensions, ADS tables); the old table stays until
+    the new one is complete."""
+    new = _beside(path)
+    df.write.parquet(new)
+    _switch(df.sparkSession, new, path)
+
+
+def save_partitioned(df: DataFrame, path: str) -> None:
+    """Full refresh of a day-partitioned fact: every day present in ``df`` is
+    rewritten, then the days that ``df`` lacks are removed."""
+    spark = df.sparkSession
+    out = _with_day(df)
+    _write_days(out, path)
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return
+    kept = {f"dt={r['dt']}" for r in out.select("dt").distinct().collect()}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("dt=") and name not in kept and "__HIVE_DEFAULT" not in name:
+            fs.delete(status.getPath(), True)
+
+
 def write_empty_day(df: DataFrame, path: str, day: str) -> None:
     """Replace ``dt=day`` by a zero-row folder that keeps the schema.
 
@@ -58,16 +101,12 @@ def save_day(df: DataFrame, path: str, day: str) -> bool:
     if part.isEmpty():
         write_empty_day(part, path, day)
         return False
-    (
-        part.hint("rebalance", "dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    _write_days(part, path)
     return True
 
 
 def save_csv(df: DataFrame, path: str) -> None:
     """Headered CSV report (a directory of part files written by the executors)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    new = _beside(path)
+    df.write.option("header", True).csv(new)
+    _switch(df.sparkSession, new, path)

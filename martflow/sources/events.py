@@ -23,9 +23,7 @@ def events_user_day(events: DataFrame) -> DataFrame:
     purchase = F.col("event_type") == PURCHASE_EVENT
     return events.groupBy("user_id", F.to_date("ts").alias("dt")).agg(
         F.max(F.when(purchase, 1).otherwise(0)).alias("is_paid_buyer"),
-        F.sum(F.when(purchase, F.col("value").cast(MONEY)).otherwise(0))
-        .cast(MONEY)
-        .alias("gmv"),
+        F.sum(F.when(purchase, F.col("value").cast(MONEY)).otherwise(0)).alias("gmv"),
     )
 
 

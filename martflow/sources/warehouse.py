@@ -1,13 +1,17 @@
 """Readers for stored warehouse tables (day-partitioned facts, whole tables)."""
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.schema import conform, text_schema
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def read_table(spark: SparkSession, path: str, types: T.StructType | None = None) -> DataFrame:
     """An unpartitioned parquet table, optionally re-typed."""
@@ -15,85 +19,72 @@ def read_table(spark: SparkSession, path: str, types: T.StructType | None = None
     return conform(df, types) if types is not None else df
 
 
-def read_partitioned(
-    spark: SparkSession,
-    path: str,
-    types: T.StructType | None = None,
-    merge_schema: bool = False,
-) -> DataFrame:
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Thousands of day folders are listed by a few tasks for each core, not by
+    one task for each folder."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
+def read_partitioned(spark: SparkSession, path: str, types: T.StructType | None = None) -> DataFrame:
     """All ``dt=YYYY-MM-DD`` partitions of a parquet fact; ``dt`` comes back
     from the directory names as a DATE.
 
-    Each call builds a fresh file index, so a reader created after a write sees
-    the new files.  Filters on ``dt`` become partition filters (only matching
-    directories are listed and read).  ``merge_schema`` reconciles day folders
-    written with different column sets (missing columns read as NULL).
+    Each call lists the table anew, so open a table once and pass the frame on;
+    filters on ``dt`` become partition filters.
     """
-    df = spark.read.option("mergeSchema", merge_schema).parquet(path)
+    with _few_listing_tasks(spark):
+        df = spark.read.parquet(path)
     return conform(df, types) if types is not None else df
 
 
-_SEP = "\x1f"
-
-
-def _sniff_headers(batches):
-    """mapInPandas body: first line of each file, read on the executors."""
-    import csv
-
-    import pandas as pd
-    from pyarrow import fs
-
-    for pdf in batches:
-        headers = []
-        for uri in pdf["path"]:
-            filesystem, p = fs.FileSystem.from_uri(uri)
-            buf = b""
-            with filesystem.open_input_stream(p, compression="detect") as stream:
-                while b"\n" not in buf:
-                    chunk = stream.read(1 << 16)
-                    if not chunk:
-                        break
-                    buf += chunk
-            line = buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-            headers.append(_SEP.join(next(csv.reader([line]))) if line else "")
-        yield pd.DataFrame({"path": pdf["path"], "header": headers})
-
-
-def file_headers(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
-    """Group files by their CSV header in one distributed job (each executor
-    opens its share of files and reads only their first line)."""
-    listing = spark.createDataFrame([(f,) for f in files], "path string")
-    sniffed = listing.mapInPandas(_sniff_headers, "path string, header string")
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for row in sniffed.collect():  # one short row per file: the listing itself
-        if row["header"]:
-            groups[tuple(row["header"].split(_SEP))].append(row["path"])
-    return groups
+def read_day(spark: SparkSession, path: str, day: str, types: T.StructType | None = None) -> DataFrame:
+    """One stored day, without listing the others."""
+    df = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/dt={day}")
+    return conform(df, types) if types is not None else df
 
 
 def read_partitioned_csv(
     spark: SparkSession, path: str, types: T.StructType | None = None
 ) -> DataFrame:
-    """Day folders of headered CSV whose columns may differ between days.
-
-    The file listing (no data) is grouped by header; each distinct header
-    becomes one scan over all of its files, ``dt`` is recovered from the folder
-    names, and the scans are merged by column name, missing columns becoming
-    NULL.  A table with one stable header is a single scan however many days
-    it holds.  No data at all is an error.
+    """Day folders of headered CSV whose columns may differ between files.
+
+    The first line of every file is found on the executors (the file's first
+    block, read as text by the same file system as any other scan); only the
+    distinct headers come to the driver.  Each header becomes one scan, joined
+    to the files that have it: the join on the day prunes the other folders at
+    run time.  The scans are merged by column name, missing columns becoming
+    NULL; ``dt`` comes from the folder names.  No data at all is an error.
     """
-    files = spark.read.text(path).inputFiles()
-    groups = file_headers(spark, files) if files else {}
-    if not groups:
+    with _few_listing_tasks(spark):
+        lines = spark.read.text(path)
+    where = [F.col("_metadata.file_path").alias("file_path")]
+    first = (
+        lines.filter("_metadata.file_block_start = 0")
+        .select("dt", *where, "value")
+        .groupBy("dt", "file_path")
+        .agg(F.first("value").alias("header"))
+        .withColumn("header", F.regexp_replace("header", "^\ufeff|\r$", ""))
+        .filter("header <> ''")
+    )
+    headers = sorted(r["header"] for r in first.select("header").distinct().collect())
+    if not headers:
         raise FileNotFoundError(f"no partitions under {path}")
     merged = None
-    for header, group in sorted(groups.items()):
-        part = (
-            spark.read.schema(text_schema(header))
-            .option("header", True)
-            .option("nullValue", "")
-            .option("basePath", path)
-            .csv(sorted(group))
-        )
+    for header in headers:
+        names = spark.createDataFrame([(header,)], "h string").select(
+            F.from_csv("h", F.lit(", ".join(f"c{i} string" for i in range(header.count(",") + 1))))).first()[0]
+        columns = [c for c in names if c is not None]
+        with _few_listing_tasks(spark):
+            part = spark.read.schema(text_schema((*columns, "dt"))).option("header", True).option(
+                "enforceSchema", True).option("nullValue", "").csv(path)
+        files = first.filter(F.col("header") == header).select("dt", "file_path")
+        part = part.select(*columns, F.col("dt").cast("date").alias("dt"), *where)
+        part = part.join(files, ["dt", "file_path"], "left_semi").drop("file_path")
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
     return conform(merged, types) if types is not None else merged
