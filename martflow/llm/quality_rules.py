@@ -55,18 +55,18 @@ class RuleModel:
     bias: float
     rules: tuple[tuple[tuple[Condition, ...], float], ...] = field(default=())
 
-    def score(self) -> Column:
-        """The probability of label 1 as a column over the statistics."""
+    def score(self, stat: Column) -> Column:
+        """The probability of label 1, from a struct of the statistics."""
         total = F.lit(float(self.bias))
         for conditions, weight in self.rules:
-            total = total + F.when(holds(conditions), F.lit(float(weight))).otherwise(F.lit(0.0))
+            total = total + F.when(holds(conditions, stat), F.lit(float(weight))).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def holds(conditions: tuple[Condition, ...]) -> Column:
+def holds(conditions: tuple[Condition, ...], stat: Column) -> Column:
     out = F.lit(True)
     for which, low, threshold in conditions:
-        value = F.col(f"stat.{STATISTICS[which]}")
+        value = stat.getField(STATISTICS[which])
         out = out & (value <= threshold if low else value > threshold)
     return out
 
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality
     rules = sorted(tree_rules(forest.toDebugString))
     if not rules:
         return RuleModel(bias=_logit((ones + 0.5) / (ones + zeros + 1)))
-    marks = [F.when(holds(r), 1.0).otherwise(0.0).alias(f"r{i}") for i, r in enumerate(rules)]
+    marks = [F.when(holds(r, F.col("stat")), 1.0).otherwise(0.0).alias(f"r{i}") for i, r in enumerate(rules)]
     matrix = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="features").transform(
         sample.select("label", *marks)).select("label", "features")
     lasso = LogisticRegression(regParam=LASSO, elasticNetParam=1.0, maxIter=60, standardization=False).fit(
@@ -148,16 +148,18 @@ def _logit(p: float) -> float:
 def score(docs: DataFrame, model: RuleModel, text_col: str = "text", into: str = "score") -> DataFrame:
     """``docs`` with one more column, the score from 0 to 1.  Null text counts as
     the empty text; every row is scored, repeated ones alike."""
-    taken = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.struct(
-        *[v.alias(k) for k, v in statistics(text_of(docs, text_col)).items()]).alias("stat"))
-    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], model.score().alias(into))
+    stat = F.struct(*[v.alias(k) for k, v in statistics(text_of(docs, text_col)).items()])
+    # the one-element array holds the statistics while all rules read them; as columns, a filter on the score
+    # would be pushed below them and compute them again for every condition
+    scored = F.element_at(F.transform(F.array(stat), model.score), 1)
+    return docs.select("*", scored.alias(into))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, train: Column | None = None, label: str = "quality",
               fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows whose score is at least 0.5, with the columns of ``docs``."""
     model = fit(docs, labels, F.lit(True) if train is None else train, label, fit_rows=fit_rows)
-    mark = "score_" + "_".join(docs.columns)
+    mark = "_" * (1 + max(map(len, docs.columns)))
     return score(docs, model, into=mark).filter(F.col(mark) >= 0.5).drop(mark)
 
 
