@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_of
+from .common import materialize, quoted, text_of
 from .components import components
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits
@@ -186,7 +186,9 @@ def links(fps: DataFrame, max_bits: int = 3, block: int = BLOCK) -> DataFrame:
     any_hot = not hot.isEmpty()
     if any_hot:
         cold = stored.join(hot.select("key"), "key", "left_anti")
-    near = cold.select("key", F.col("fp").alias("u")).join(looked.select("key", F.col("fp").alias("v")), "key")
+    # the planner knows the size of the fingerprints, not of their many keys, so it must not choose to broadcast these
+    near = cold.select("key", F.col("fp").alias("u")).join(
+        looked.select("key", F.col("fp").alias("v")).hint("merge"), "key")
     found = near.filter((F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits))
     found = found.select("u", "v")
     return found.unionByName(_hot_links(stored, looked, hot, block, max_bits)) if any_hot else found
@@ -239,7 +241,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     ids = vague.select(F.col("win_id").alias("vague_id")).distinct()
     rows = docs.join(ids, docs[id_col].eqNullSafe(ids.vague_id), "left_semi")
     packed = rows.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("row_text"),
-                         F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+                         F.struct(*[quoted(c) for c in docs.columns]).alias("row"))
 
     def mark(batches):
         for batch in batches:
