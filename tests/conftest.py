@@ -19,7 +19,7 @@ SF0001 = "/root/testdata/sf0.001"
 def spark():
     from martflow.session import local_session
 
-    session = local_session("*", 8)
+    session = local_session("*", 8)  # otherwise Spark's own settings
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
@@ -64,11 +64,6 @@ def window_dir() -> str:
     return str(FIXTURES / "window")
 
 
-@pytest.fixture
-def sample_dir() -> str:
-    return str(FIXTURES / "sample")
-
-
 def need_testdata():
     if not os.path.exists(f"{SF0001}/orders.parquet"):
         pytest.skip("driver test data not present")

@@ -28,7 +28,7 @@ def _dup(table, key_col, key):
     return apply
 
 
-U, O, I = ("users", "user_id", "U1"), ("orders", "order_id", "O1"), ("order_items", "order_item_id", "I1")
+U, O, I = ("users", "user_id", "C11"), ("orders", "order_id", "R101"), ("order_items", "order_item_id", "L1")
 
 # gate ordinal -> mutation of the `good` fixture; each trips its gate first, with 1 bad row.
 MUTATIONS = {
@@ -41,8 +41,8 @@ MUTATIONS = {
     7: _set(*O, status="lost"),
     8: _set(*O, pay_amount="-10.00"),
     9: _set(*O, order_ts="nope"),
-    10: _set(*O, dt="2026/07/01"),
-    11: _set(*O, order_ts="2026-07-02 10:00:00"),
+    10: _set(*O, dt="2025/03/03"),
+    11: _set(*O, order_ts="2025-03-04 10:00:00"),
     12: _set(*O, user_id="U999"),
     13: _set(*I, category=" "),
     14: _dup(*I),
@@ -51,15 +51,15 @@ MUTATIONS = {
     17: _set(*I, amount="-1"),
     18: _set(*I, amount="999.00"),
     19: _set(*I, order_id="O999"),
-    20: _set(*O, pay_amount="101.00"),
+    20: _set(*O, pay_amount="65.00"),
     21: _set(*O, refund_amount="-1"),
     22: _set(*I, refund_qty="-1"),
     23: _set(*I, refund_amount="-1"),
-    24: _set(*I, refund_qty="2"),
+    24: _set(*I, refund_qty="3"),
     25: _set(*I, refund_amount="150.00"),
     26: _set(*O, refund_amount="150.00"),
     27: _set(*O, refund_amount="5.00"),
-    28: _set("orders", "order_id", "O4", status="refunded"),
+    28: _set("orders", "order_id", "R104", status="refunded"),
 }
 # Later gates that the same mutation also trips (1 bad row each).
 ALSO = {
@@ -102,9 +102,9 @@ def test_check_gates_raises_first_failure(spark):
 
 def test_null_keys_count_as_orphans_and_duplicates(spark):
     data = copy.deepcopy(GOOD)
-    extra = dict(_row(data["orders"], "order_id", "O1"))
+    extra = dict(_row(data["orders"], "order_id", "R101"))
     data["orders"] += [dict(extra, order_id=""), dict(extra, order_id="")]
-    item = dict(_row(data["order_items"], "order_item_id", "I1"))
+    item = dict(_row(data["order_items"], "order_item_id", "L1"))
     data["order_items"].append(dict(item, order_item_id="I9", order_id=""))
     report = _report(spark, lambda d: d.update(data))
     by_name = {name: bad for name, bad in report.values()}

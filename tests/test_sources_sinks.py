@@ -60,6 +60,59 @@ def test_csv_day_folders_with_drifting_headers(spark, tmp_path):
                    ("O3", "3.00", "app", "2026-07-02")]
 
 
+def test_csv_day_folders_below_a_path_with_a_space(spark, tmp_path):
+    day = tmp_path / "a b" / "dt=2026-07-01"
+    day.mkdir(parents=True)
+    (day / "one.csv").write_text('order_id,"odd, name"\nO1,x\n')
+    (day / "two.csv").write_text('order_id\nO2\n')
+    got = sorted(tuple(r) for r in read_partitioned_csv(spark, str(tmp_path / "a b")).select("order_id", "odd, name").collect())
+    assert got == [("O1", "x"), ("O2", None)]
+
+
+def test_a_failed_overwrite_keeps_the_old_table(spark, tmp_path):
+    from martflow.sinks import save_table
+
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame([("a", 1, dt.date(2026, 7, 1))], "k string, v int, dt date")
+    bad = good.withColumn("v", F.raise_error(F.lit("stop")).cast("int"))
+    for save in (save_table, save_partitioned):
+        save(good, path)
+        with pytest.raises(Exception):
+            save(bad, path)
+        assert spark.read.parquet(path).count() == 1
+
+
+def _scans(df, table):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("l_orderkey#") and sum("Relation [" in line and table in line for line in plan.splitlines())
+
+
+def test_adapter_scans(spark):
+    need_testdata()
+    import __spark_entry__ as entry
+
+    layers = entry._layers(spark, SF0001)
+    assert _scans(layers.fact_order, "p_partkey") == 0 and _scans(layers.fact_order, "l_orderkey") == 1
+    assert _scans(layers.fact_order_item, "l_orderkey") == 1
+    assert _scans(layers.category_gmv_1d, "l_orderkey") == 1
+
+
+def test_an_order_of_many_lines_keeps_its_ids_apart(spark, tmp_path):
+    need_testdata()
+    import os
+
+    from martflow.operators import gates as G
+
+    for name in ("orders", "customer", "nation", "part"):
+        os.symlink(f"{SF0001}/{name}.parquet", tmp_path / f"{name}.parquet")
+    lines = spark.read.parquet(f"{SF0001}/lineitem.parquet")
+    one = lines.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1200)))).withColumn(
+        "l_linenumber", F.col("n").cast(lines.schema["l_linenumber"].dataType)).drop("n")
+    lines.unionByName(one).write.parquet(str(tmp_path / "lineitem.parquet"))
+    items = ods_from_tpch(spark, str(tmp_path)).items
+    assert G.unique(items, ["order_item_id"], "x").first()["bad_rows"] == 0
+
+
 def test_csv_day_folders_empty_is_an_error(spark, tmp_path):
     (tmp_path / "dt=2026-07-01").mkdir()
     with pytest.raises(Exception):
