@@ -69,14 +69,17 @@ def as_date(df: DataFrame, name: str) -> Column:
 
 def as_timestamp(df: DataFrame, name: str) -> Column:
     """Parse an event time as TIMESTAMP_NTZ so its calendar day never depends
-    on the session time zone; malformed text becomes NULL."""
+    on the session time zone; malformed text becomes NULL, and so does text with
+    a zone or an offset, whose business day is not known."""
     c = F.col(name)
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.TimestampNTZType):
         return c
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return c.cast(T.TimestampNTZType())
-    return c.cast("string").try_cast(T.TimestampNTZType())
+    text = c.cast("string")
+    zoned = text.rlike(r":\d{2}(\.\d+)?\s*([A-Za-z]|[+-]\d)")
+    return F.when(~zoned, text.try_cast(T.TimestampNTZType()))
 
 
 def as_type(df: DataFrame, name: str, dtype: T.DataType) -> Column:

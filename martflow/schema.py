@@ -38,10 +38,13 @@ def _types(**kw) -> T.StructType:
 
 
 # Numeric columns of ODS after loading (everything else stays as read).
-ODS_ORDERS_TYPES = _types(pay_amount=MONEY, refund_amount=MONEY)
+# Amounts keep more decimals than the layers do: the gates see them as they came,
+# and only then are they rounded.
+RAW_MONEY, RAW_PRICE = T.DecimalType(24, 6), T.DecimalType(24, 10)
+ODS_ORDERS_TYPES = _types(pay_amount=RAW_MONEY, refund_amount=RAW_MONEY)
 ODS_ITEMS_TYPES = _types(
-    qty=T.IntegerType(), unit_price=PRICE, amount=MONEY,
-    refund_qty=T.IntegerType(), refund_amount=MONEY,
+    qty=T.IntegerType(), unit_price=RAW_PRICE, amount=RAW_MONEY,
+    refund_qty=T.IntegerType(), refund_amount=RAW_MONEY,
 )
 
 # Typed columns of the stored layers (used to re-type a table read back from

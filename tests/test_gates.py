@@ -142,3 +142,15 @@ def test_fused_report_matches_gate_families(spark):
     assert single == fused
     assert fused["ods_items.pk"] > 0 and fused["ods_orders.amount_vs_items"] > 0
     assert fused["ods_items.amount_eq_qty_price"] > 0
+
+
+def test_extra_decimals_reach_the_gates(spark):
+    data = copy.deepcopy(GOOD)
+    _set(*O, pay_amount="64.0149")(data)
+    assert {k for k, (_, bad) in _report(spark, lambda d: d.update(data)).items() if bad} == {20}
+
+
+@pytest.mark.parametrize("text", ["2025-03-03 20:00:00+08:00", "2025-03-03T20:00:00Z", "2025-03-03 08:15:00 UTC"])
+def test_times_with_a_zone_are_not_parseable(spark, text):
+    report = _report(spark, _set(*O, order_ts=text))
+    assert {k for k, (_, bad) in report.items() if bad} == {9}
