@@ -501,14 +501,20 @@ def entry(spark: SparkSession) -> DataFrame:
 def _training_data():
     """Queries and SQL of the optional ``llm`` subpackage and the pipeline on top
     of it; nothing if the subpackage is not there."""
-    import importlib.util
+    from importlib.util import find_spec
 
-    if importlib.util.find_spec("martflow.llm") is None:
+    def there(name: str) -> bool:
+        try:
+            return find_spec(name) is not None
+        except ModuleNotFoundError:  # not even its package
+            return False
+
+    if not there("martflow.llm.queries"):
         return {}, {}
     from martflow.llm import queries as module
 
     found, sql = dict(module.QUERIES), dict(module.ORACLE_SQL)
-    if importlib.util.find_spec("corpus_pipeline") is not None:
+    if there("corpus_pipeline"):
         import corpus_pipeline
 
         found["pipeline"] = corpus_pipeline.run
