@@ -14,6 +14,7 @@ group.  All pages take part and all are extracted whole.
 """
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -152,7 +153,8 @@ def blocks_of(page: str) -> Block:
 
 # --------------------------------------------------------------- wrappers
 # An item of a wrapper: {"l": label, "n": pages, "opt": bool, "rep": bool, "kids": items} for a block or, with the
-# label "(...)", a repeated group; {"l": "#", "n", "opt", "rep", "fixed": text or None, "chars", "linked"} for a text.
+# label "(...)", a repeated group; {"l": "#", "n", "opt", "rep", "fixed": hash of the text or None, "chars", "linked"}
+# for a text.
 def _runs(labels: list[str]) -> Iterator[tuple[int, int, int]]:
     """``(first, period, times)``: labels in turn, repeated stretches of one to three taken together."""
     i = 0
@@ -190,7 +192,7 @@ def items_of(kids: list) -> list[dict]:
             if label[0] == "(":
                 item = {"l": label, "n": 1, "opt": False, "kids": items_of(part)}
             elif isinstance(part[0], Text):
-                item = {"l": "#", "n": 1, "opt": False, "fixed": part[0].text[:200], "chars": len(part[0].text),
+                item = {"l": "#", "n": 1, "opt": False, "fixed": hashlib.md5(part[0].text.encode()).hexdigest(), "chars": len(part[0].text),
                         "linked": part[0].linked}
             else:
                 b = part[0]
@@ -272,7 +274,7 @@ def article_of(root: list[dict]) -> dict | None:
             held.append(item)
         queue += item["kids"]
     total = sum(map(mass, root))
-    held = [x for x in held if 2 * mass(x) >= total > 0]
+    held = [x for x in held if 2 * mass(x) >= total]
     if strong := [x for x in held if x["l"].split(".")[0].rstrip("+") == "article"] or held:
         return min(strong, key=mass)
     level, found = root, None
@@ -286,18 +288,19 @@ def article_of(root: list[dict]) -> dict | None:
 def mark(root: list[dict]) -> list[dict]:
     """The wrapper with ``keep`` on every text slot: is it part of the article?"""
     article = article_of(root)
+    # in a block that is made for the article all texts are its own, also if the host's pages are copies of one
+    made = article is not None and (article.get("holder") or article["l"].endswith("+"))
 
-    def walk(items: list[dict], inside: bool, within: bool) -> None:
+    def walk(items: list[dict], inside: bool) -> None:
         for x in items:
-            now = inside or x is article
             if x["l"] == "#":
-                x["keep"] = now and not fixed(x) and (within or 2 * x["linked"] <= x["chars"])
+                x["keep"] = bool(inside and (made or not fixed(x)) and 2 * x["linked"] <= x["chars"])
                 for k in ("fixed", "chars", "linked"):
                     x.pop(k)
             else:
-                walk(x["kids"], (now or article is None) and not x.get("junk"), False)
+                walk(x["kids"], (inside or x is article) and not x.get("junk"))
 
-    walk(root, article is None, False)
+    walk(root, article is None)
     return root
 
 

