@@ -234,7 +234,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     won = materialize(of_id.join(winner, of_id[id_col].eqNullSafe(winner.win_id)).select("win_id", "win_fp", "id_rows"),
                       "winners")
     clear = won.filter("id_rows = 1 AND win_id IS NOT NULL").select("win_id")
-    kept = docs.join(clear, docs[id_col] == clear.win_id, "left_semi")
+    # the ids grow with the documents, so they are merged at every size
+    kept = docs.join(clear.hint("merge"), docs[id_col] == clear.win_id, "left_semi")
     vague = won.filter("id_rows > 1 OR win_id IS NULL").select("win_id", "win_fp")
     if vague.isEmpty():
         return kept
