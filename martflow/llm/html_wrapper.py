@@ -5,8 +5,11 @@ blocks whose inline content is text.  Pages of one host are aligned one after
 the other: matching blocks are merged, a block that one side lacks becomes
 optional, runs of alike blocks become a repeated group, and texts that differ
 become a slot while equal ones stay fixed.  The result is one expression
-without alternatives, the host's wrapper; it says which slots hold the article.
-Every page is then matched with the wrapper of its host.
+without alternatives, the host's wrapper; it says which texts belong to the
+template and which blocks hold the article on the pages that have them.  Every
+page is then matched with the wrapper of its host and takes the blocks that it
+has of these; a block that holds most of the page's own text is taken too, so a
+page of a rare template, or without a host, is not empty.
 
 Wrappers merge in any grouping, so each task merges its own pages first and only
 small wrappers are shuffled, in two rounds; a host with most pages is no hot
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -70,6 +74,11 @@ class Block:
         if words & HOLDER_NAMES and not self.junk and not words & JUNK_NAMES and tag not in ("body", "html", "p"):
             self.label += "+"
 
+    @property
+    def made(self) -> bool:
+        """Is the block made for an article, by its tag, role or name?"""
+        return self.holder or self.label.endswith("+")
+
 
 class Text:
     __slots__ = ("text", "linked")
@@ -154,7 +163,7 @@ def blocks_of(page: str) -> Block:
 # --------------------------------------------------------------- wrappers
 # An item of a wrapper: {"l": label, "n": pages, "opt": bool, "rep": bool, "kids": items} for a block or, with the
 # label "(...)", a repeated group; {"l": "#", "n", "opt", "rep", "fixed": hash of the text or None, "chars", "linked"}
-# for a text.
+# for a text.  Blocks made for an article have "own", the own characters of the pages that have them.
 def _runs(labels: list[str]) -> Iterator[tuple[int, int, int]]:
     """``(first, period, times)``: labels in turn, repeated stretches of one to three taken together."""
     i = 0
@@ -183,22 +192,43 @@ def fold(kids: list) -> list[tuple[str, list[list]]]:
     return out
 
 
-def items_of(kids: list) -> list[dict]:
-    """A page's level as wrapper items."""
+def own_chars(node) -> int:
+    """Characters of a page's node outside links and known junk."""
+    if isinstance(node, Text):
+        return len(node.text) - node.linked
+    return 0 if node.junk else sum(map(own_chars, node.kids))
+
+
+def page_items(page: str) -> list[dict]:
+    """A page as a wrapper: one item for its root."""
+    root = blocks_of(page)
+    return items_of([root], own_chars(root))
+
+
+def hash_of(text: str) -> str:
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def items_of(kids: list, own: int = 0) -> list[dict]:
+    """A level of a page with ``own`` characters as wrapper items."""
     out = []
     for label, parts in fold(kids):
         made = None
         for part in parts:
             if label[0] == "(":
-                item = {"l": label, "n": 1, "opt": False, "kids": items_of(part)}
+                item = {"l": label, "n": 1, "opt": False, "kids": items_of(part, own)}
             elif isinstance(part[0], Text):
-                item = {"l": "#", "n": 1, "opt": False, "fixed": hashlib.md5(part[0].text.encode()).hexdigest(), "chars": len(part[0].text),
+                item = {"l": "#", "n": 1, "opt": False, "fixed": hash_of(part[0].text), "chars": len(part[0].text),
                         "linked": part[0].linked}
             else:
                 b = part[0]
-                item = {"l": label, "n": 1, "opt": False, "junk": b.junk, "holder": b.holder, "kids": items_of(b.kids)}
+                item = {"l": label, "n": 1, "opt": False, "junk": b.junk, "holder": b.holder, "kids": items_of(b.kids, own)}
+                if b.made:
+                    item["own"] = own
             made = item if made is None else merged(made, item)
         made.update(n=1, rep=len(parts) > 1)
+        if "own" in made:
+            made["own"] = own
         out.append(made)
     return out
 
@@ -231,6 +261,8 @@ def merged(a: dict, b: dict) -> dict:
                    linked=a["linked"] + b["linked"])
     else:
         out["kids"] = aligned(a["kids"], b["kids"])
+        if "own" in a:
+            out["own"] = a["own"] + b["own"]
     return out
 
 
@@ -262,57 +294,49 @@ def fixed(item: dict) -> bool:
     return item["n"] >= 4 and item["fixed"] is not None and not item.get("rep")
 
 
-def article_of(root: list[dict]) -> dict | None:
-    """The item that holds the article: a block made for it, or else the lowest
-    one that still holds most of the text that is the pages' own."""
-    held, queue = [], list(root)
-    while queue:
-        item = queue.pop(0)
-        if item["l"] == "#" or item.get("junk"):
-            continue
-        if item.get("holder") or item["l"].endswith("+"):
-            held.append(item)
-        queue += item["kids"]
-    total = sum(map(mass, root))
-    held = [x for x in held if 2 * mass(x) >= total]
-    if strong := [x for x in held if x["l"].split(".")[0].rstrip("+") == "article"] or held:
-        return min(strong, key=mass)
-    level, found = root, None
-    while True:
-        heavy = [x for x in level if x["l"] != "#" and 10 * mass(x) >= 7 * total > 0]
-        if not heavy or heavy[0].get("rep"):
-            return found
-        found, level = heavy[0], heavy[0]["kids"]
-
-
 def mark(root: list[dict]) -> list[dict]:
-    """The wrapper with ``keep`` on every text slot: is it part of the article?"""
-    article = article_of(root)
-    # in a block that is made for the article all texts are its own, also if the host's pages are copies of one
-    made = article is not None and (article.get("holder") or article["l"].endswith("+"))
+    """The wrapper with ``main`` on every block made for an article that holds at
+    least half of the own text of the pages that have it, and ``fixed`` only on
+    texts of the template."""
+    pages = root[0]["n"]
+    shared: list[tuple[int, float]] = []
 
-    def walk(items: list[dict], inside: bool) -> None:
+    def template(items: list[dict]) -> None:
         for x in items:
             if x["l"] == "#":
-                x["keep"] = bool(inside and (made or not fixed(x)) and 2 * x["linked"] <= x["chars"])
-                for k in ("fixed", "chars", "linked"):
-                    x.pop(k)
-            else:
-                walk(x["kids"], (inside or x is article) and not x.get("junk"))
+                if fixed(x):
+                    shared.append((x["n"], (x["chars"] - x["linked"]) / x["n"]))
+            elif not x.get("junk"):
+                template(x["kids"])
 
-    walk(root, article is None)
+    def walk(items: list[dict]) -> None:
+        for x in items:
+            if x["l"] == "#":
+                x["fixed"] = x["fixed"] if fixed(x) else None
+                x["linked"] = 2 * x["linked"] > x["chars"]
+                x.pop("chars")
+            else:
+                if "own" in x:
+                    # template texts count as far as they must be on these pages
+                    own = x.pop("own") - sum(max(0, x["n"] + n - pages) * chars for n, chars in shared)
+                    x["main"] = 0 < own <= 2 * mass(x)
+                walk(x["kids"])
+
+    template(root)
+    walk(root)
     return root
 
 
 def extract(page: str, wrapper: list[dict]) -> str:
-    """The texts of a page in its wrapper's article slots.  A block that the
-    wrapper lacks is kept if it is inside the article and not known as junk."""
-    out: list[str] = []
-
-    def keeps(items: list[dict]) -> bool:
-        return any(x["keep"] if x["l"] == "#" else keeps(x["kids"]) for x in items)
-
-    def walk(kids: list, items: list[dict] | None, inside: bool) -> None:
+    """The texts of a page's article.  It is in the blocks made for an article
+    that the wrapper knows as main or that hold half of the page's own text,
+    ``<article>`` before others around or inside it; else in the lowest block
+    that still holds most of the page's own text.  Known junk is left out."""
+    texts: list[tuple[str, bool, bool]] = []  # with: of the template, linked
+    spans: list[tuple[int, int]] = []  # of the texts of every block, outer blocks behind inner ones
+    named: list[tuple[int, int, Block, bool]] = []
+
+    def walk(kids: list, items: list[dict] | None) -> None:
         level = fold(kids)
         found: dict[int, dict] = {}
         if items is not None:
@@ -326,16 +350,35 @@ def extract(page: str, wrapper: list[dict]) -> str:
         for i, (label, parts) in enumerate(level):
             item = found.get(i)
             for part in parts:
+                node = part[0]
                 if label[0] == "(":
-                    walk(part, item["kids"] if item else items, inside)
+                    walk(part, item["kids"] if item else items)
                 elif label == "#":
-                    if item["keep"] if item else inside:
-                        out.append(part[0].text)
-                elif not part[0].junk:
-                    walk(part[0].kids, item["kids"] if item else None, keeps(item["kids"]) if item else inside)
-
-    walk(blocks_of(page).kids, wrapper, False)
-    return " ".join(out)
+                    known = bool(item and item["fixed"]) and item["fixed"] == hash_of(node.text)
+                    texts.append((node.text, known, item["linked"] if item else 2 * node.linked > len(node.text)))
+                    weights.append(0 if known else len(node.text) - node.linked)
+                elif not node.junk:
+                    first = len(texts)
+                    walk(node.kids, item["kids"] if item else None)
+                    if len(texts) > first:
+                        spans.append((first, len(texts)))
+                        if node.made:
+                            named.append((first, len(texts), node, bool(item and item["main"])))
+
+    weights: list[int] = []
+    walk([blocks_of(page)], wrapper)
+    sums = [0, *itertools.accumulate(weights)]
+    total = sums[-1]
+    weight = lambda span: sums[span[1]] - sums[span[0]]
+    held = [x for x in named if x[3] or 2 * weight(x) >= total]
+    strong = [x for x in held if x[2].tag == "article"]
+    apart = [x for x in held if not any(x[0] < y[1] and y[0] < x[1] for y in strong)]
+    if chosen := strong + ([min(apart, key=weight)] if apart else []):
+        keep = {i for x in chosen for i in range(x[0], x[1]) if not texts[i][2]}
+    else:
+        first, end = next((x for x in spans if 10 * weight(x) >= 7 * total > 0), (0, len(texts)))
+        keep = {i for i in range(first, end) if not texts[i][1] and not texts[i][2]}
+    return " ".join(texts[i][0] for i in sorted(keep))
 
 
 # ------------------------------------------------------------------ Spark
@@ -351,7 +394,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
         for batch in batches:
             held: dict[str, list[dict]] = {}
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
-                items = items_of(blocks_of(page.as_py()).kids)
+                items = page_items(page.as_py())
                 held[host] = aligned(held[host], items) if host in held else items
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.string()), pa.array([json.dumps(w) for w in held.values()], pa.string())],

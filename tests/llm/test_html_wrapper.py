@@ -64,6 +64,27 @@ def test_copies_of_one_page_are_extracted(spark):
     assert {r.text for r in W.main_texts(frame(spark, rows)).collect()} == {"One title One text"}
 
 
+def words(n, k):
+    return " ".join(f"w{n}x{i}" for i in range(k))
+
+
+def test_every_template_of_a_host_has_its_article(spark):
+    page = lambda n: (f"<body><nav>Menu</nav><div class={'post-content' if n % 10 < 7 else 'entry'}><h1>Title {n}</h1>"
+                      f"<p>{words(n, 30)}</p></div><div>Side {n}</div></body>")
+    rows = [(n, f"http://two.example/{n}", page(n)) for n in range(20)]
+    kinds = lambda n: (f"<body><article class={'news' if n % 10 < 7 else 'review'}><h1>Title {n}</h1>"
+                       f"<p>{words(n, 30)}</p></article><div>Side {n}</div></body>")
+    rows += [(100 + n, f"http://kinds.example/{n}", kinds(n)) for n in range(20)]
+    rows += [(200 + n, None, f"<body><div class={c}><h1>Title {200 + n}</h1><p>{words(200 + n, 30)}</p></div></body>")
+             for n, c in enumerate(["story"] * 5 + ["entry", "text"])]
+    got = {r.page_id: r.text for r in W.main_texts(frame(spark, rows)).collect()}
+    for n in range(20):
+        assert got[n] == f"Title {n} {words(n, 30)}"
+        assert got[100 + n] == f"Title {n} {words(n, 30)}"
+    for n in range(200, 207):
+        assert got[n] == f"Title {n} {words(n, 30)}"
+
+
 def test_query_on_the_given_pages(spark):
     need_testdata()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op4_html_wrapper"](spark, SF0001).collect()}
