@@ -5,7 +5,9 @@ pattern; identifier-like tokens behind the same words are its further
 instances.  Patterns and instances score each other in turn (a pattern by the
 share of its instances that are believed, an instance by the patterns it
 occurs with), and patterns that end with high confidence mark the unseen
-identifiers behind them.
+identifiers behind them.  Scoring starts from the contexts of seeds; the other
+contexts of the instances that come to be believed join in, and so on until no
+further pattern is trusted.
 
 Everything is Spark expressions and joins: one pass over the texts gives spans
 and occurrences, all later steps work on those alone.
@@ -105,32 +107,45 @@ def confident_patterns(found: DataFrame, rounds: int, confident: float) -> DataF
 
     A pattern's belief in a kind is the sum of its instances' beliefs over one
     more than their number, so it takes several agreeing instances to be sure;
-    an instance is believed as far as not all of its patterns are wrong.
+    an instance is believed as far as not all of its patterns are wrong.  After
+    ``rounds`` rounds of scoring, all contexts of instances believed at
+    ``confident`` or more take part as well, until that gives no new pattern.
     """
     base = found.select(F.explode("base").alias("b")).select("b.context", "b.value", "b.kind")
     other = found.select(F.explode("tokens").alias("t")).select("t.context", "t.value", F.lit(-1).alias("kind"))
     belief = [F.max((F.col("kind") == i).cast("double")).alias(f"seed{i}") for i in range(len(KINDS))]
     edges = base.unionByName(other).filter("context <> ''").groupBy("context", "value").agg(*belief)
     seeds = base.groupBy("value").agg(*belief).withColumnsRenamed({f"seed{i}": f"s{i}" for i in range(len(KINDS))})
-    # only contexts of a seed can ever be believed
-    useful = edges.groupBy("context").agg(F.max(F.greatest(*[f"seed{i}" for i in range(len(KINDS))])).alias("any"))
-    edges = materialize(edges.join(useful.filter("any > 0").select("context"), "context").select("context", "value"),
+    edges = materialize(edges.select("context", "value", F.greatest(*[f"seed{i}" for i in range(len(KINDS))]).alias("seed")),
                         "pii-edges")
     seeds = materialize(seeds, "pii-seeds")
     names = [f"s{i}" for i in range(len(KINDS))]
-    instances, patterns = seeds, None
-    for _ in range(rounds):
-        patterns = edges.join(instances, "value", "left").groupBy("context").agg(
-            *[(F.sum(F.coalesce(F.col(s), F.lit(0.0))) / (F.count("*") + 1)).alias(s) for s in names])
-        patterns = materialize(patterns, "pii-patterns")
-        doubt = [F.exp(F.sum(F.log(1 - F.col(s)))) for s in names]
-        grown = edges.join(patterns, "context").groupBy("value").agg(
-            *[(1 - d).alias(s) for d, s in zip(doubt, names, strict=True)])
-        known = seeds.select("value", *[F.col(s).alias(f"known_{s}") for s in names])
-        instances = materialize(grown.join(known, "value", "left").select(
-            "value", *[F.greatest(F.col(s), F.coalesce(f"known_{s}", F.lit(0.0))).alias(s) for s in names]),
-            "pii-instances")
     best = F.greatest(*names)
+    reached = materialize(edges.filter("seed > 0").select("context").distinct(), "pii-reached")
+    instances, trusted = seeds, -1
+    while True:
+        near = materialize(edges.join(reached, "context", "left_semi").select("context", "value"), "pii-near")
+        for _ in range(rounds):
+            patterns = near.join(instances, "value", "left").groupBy("context").agg(
+                *[(F.sum(F.coalesce(F.col(s), F.lit(0.0))) / (F.count("*") + 1)).alias(s) for s in names])
+            patterns = materialize(patterns, "pii-patterns")
+            doubt = [F.exp(F.sum(F.log(1 - F.col(s)))) for s in names]
+            grown = near.join(patterns, "context").groupBy("value").agg(
+                *[(1 - d).alias(s) for d, s in zip(doubt, names, strict=True)])
+            known = seeds.select("value", *[F.col(s).alias(f"known_{s}") for s in names])
+            instances = materialize(grown.join(known, "value", "left").select(
+                "value", *[F.greatest(F.col(s), F.coalesce(f"known_{s}", F.lit(0.0))).alias(s) for s in names]),
+                "pii-instances")
+        # beliefs never fall as contexts join, so no new pattern means as many as before
+        before, trusted = trusted, patterns.filter(best >= confident).count()
+        if trusted == before:
+            break
+        believed = instances.filter(best >= confident).select("value")
+        more = materialize(edges.join(believed, "value", "left_semi").select("context").distinct().join(
+            reached, "context", "left_anti"), "pii-more")
+        if more.isEmpty():
+            break
+        reached = materialize(reached.unionByName(more), "pii-reached")
     kind = reduce(lambda out, i: F.when(F.col(f"s{i}") == best, F.lit(i)).otherwise(out),
                   reversed(range(len(KINDS))), F.lit(0))
     return patterns.select("context", kind.alias("kind"), best.alias("belief")).filter(F.col("belief") >= confident)

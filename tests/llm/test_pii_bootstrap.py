@@ -74,6 +74,23 @@ def test_contexts_find_unseen_identifiers(spark):
     assert not got[200].extra and not got[201].extra and not got[1].extra and len(got[None].base) == 1
 
 
+def test_believed_identifiers_teach_further_contexts(spark):
+    ids = [f"id{i}77x{i}" for i in range(24)]
+    rows = [(i, f"text {i} customer mail: u{i}@x.example.com end") for i in range(24)]
+    rows += [(100 + i, f"note customer mail: {v} end") for i, v in enumerate(ids[:16])]
+    rows += [(200 + i, f"then account ref: {v} end") for i, v in enumerate(ids[2:])]  # no seed here
+    rows += [(300 + i, f"also ticket owner: {v} end") for i, v in enumerate(ids[16:])]  # nor here, two hops away
+    rows += [(400, "also ticket owner: zz9zz9zz end"), (401, "but other place: zz8zz8zz end")]
+    got = {r.doc_id: r for r in B.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, v in enumerate(ids[:16]):
+        assert [(e.kind, e.value) for e in got[100 + i].extra] == [(0, v)]
+    for i, v in enumerate(ids[2:]):
+        assert [(e.kind, e.value) for e in got[200 + i].extra] == [(0, v)]
+    for i, v in enumerate(ids[16:]):
+        assert [(e.kind, e.value) for e in got[300 + i].extra] == [(0, v)]
+    assert [(e.kind, e.value) for e in got[400].extra] == [(0, "zz9zz9zz")] and not got[401].extra
+
+
 def test_few_or_mixed_seeds_teach_nothing(spark):
     rows = [(i, f"see mail: u{i}@x.example.com") for i in range(2)] + [(9, "see mail: a1b2c3d4")]
     rows += [(20 + i, f"random place: {i}{i}{i}{i}{i}{i}z") for i in range(9)]
