@@ -40,6 +40,7 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 RAW = frozenset("script style title textarea noscript template svg math iframe object".split())
 JUNK_TAGS = frozenset("nav footer aside form button select menu dialog fieldset head header address".split())
 HOLDERS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 JUNK_NAMES = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
                        "consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation "
                        "newsletter notice notification overlay pagination popup promo recommended related reply replies "
@@ -331,12 +332,13 @@ def extract(page: str, wrapper: list[dict]) -> str:
     """The texts of a page's article.  It is in the blocks made for an article
     that the wrapper knows as main or that hold half of the page's own text,
     ``<article>`` before others around or inside it; else in the lowest block
-    that still holds most of the page's own text.  Known junk is left out."""
+    that still holds most of the page's own text, without its template and link
+    texts (linked headings stay).  Known junk is left out."""
     texts: list[tuple[str, bool, bool]] = []  # with: of the template, linked
     spans: list[tuple[int, int]] = []  # of the texts of every block, outer blocks behind inner ones
     named: list[tuple[int, int, Block, bool]] = []
 
-    def walk(kids: list, items: list[dict] | None) -> None:
+    def walk(kids: list, items: list[dict] | None, tag: str = "") -> None:
         level = fold(kids)
         found: dict[int, dict] = {}
         if items is not None:
@@ -352,14 +354,15 @@ def extract(page: str, wrapper: list[dict]) -> str:
             for part in parts:
                 node = part[0]
                 if label[0] == "(":
-                    walk(part, item["kids"] if item else items)
+                    walk(part, item["kids"] if item else items, tag)
                 elif label == "#":
                     known = bool(item and item["fixed"]) and item["fixed"] == hash_of(node.text)
-                    texts.append((node.text, known, item["linked"] if item else 2 * node.linked > len(node.text)))
+                    linked = item["linked"] if item else 2 * node.linked > len(node.text)
+                    texts.append((node.text, known, linked and tag not in HEADINGS))
                     weights.append(0 if known else len(node.text) - node.linked)
                 elif not node.junk:
                     first = len(texts)
-                    walk(node.kids, item["kids"] if item else None)
+                    walk(node.kids, item["kids"] if item else None, node.tag)
                     if len(texts) > first:
                         spans.append((first, len(texts)))
                         if node.made:
@@ -374,7 +377,7 @@ def extract(page: str, wrapper: list[dict]) -> str:
     strong = [x for x in held if x[2].tag == "article"]
     apart = [x for x in held if not any(x[0] < y[1] and y[0] < x[1] for y in strong)]
     if chosen := strong + ([min(apart, key=weight)] if apart else []):
-        keep = {i for x in chosen for i in range(x[0], x[1]) if not texts[i][2]}
+        keep = {i for x in chosen for i in range(x[0], x[1])}
     else:
         first, end = next((x for x in spans if 10 * weight(x) >= 7 * total > 0), (0, len(texts)))
         keep = {i for i in range(first, end) if not texts[i][1] and not texts[i][2]}

@@ -85,6 +85,21 @@ def test_every_template_of_a_host_has_its_article(spark):
         assert got[n] == f"Title {n} {words(n, 30)}"
 
 
+def test_links_inside_the_article_stay(spark):
+    inner = lambda n: (f"<h1><a href=/{n}>Title {n}</a></h1><p>{words(n, 30)}</p><p><a href=/x>Single link {n}</a></p>"
+                       f"<ul><li><a href=/1>Source {n} one</a></li><li><a href=/2>Source {n} two</a></li></ul>")
+    text = lambda n: f"Title {n} {words(n, 30)} Single link {n} Source {n} one Source {n} two"
+    rows = [(n, "http://tag.example/", f"<body><ul><li><a href=/>Go {n}</a></li></ul><article>{inner(n)}</article></body>")
+            for n in range(6)]
+    rows += [(10 + n, "http://name.example/", f"<body><ul><li><a href=/>Go {n}</a></li></ul>"
+              f"<div class=entry>{inner(10 + n)}</div></body>") for n in range(6)]
+    rows += [(20 + n, "http://plain.example/", f"<body><ul><li><a href=/>Go {n}</a></li></ul><div><h1><a href=/>Title {n}</a>"
+              f"</h1><p>{words(n, 9)}</p><p>{words(n, 9)}</p></div></body>") for n in range(6)]
+    got = {r.page_id: r.text for r in W.main_texts(frame(spark, rows)).collect()}
+    assert all(got[n] == text(n) for n in [*range(6), *range(10, 16)])
+    assert all(got[20 + n].removeprefix(f"Title {n} ") == f"{words(n, 9)} {words(n, 9)}" for n in range(6))
+
+
 def test_query_on_the_given_pages(spark):
     need_testdata()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op4_html_wrapper"](spark, SF0001).collect()}
