@@ -196,7 +196,7 @@ def fold(kids: list) -> list[tuple[str, list[list]]]:
 def own_chars(node) -> int:
     """Characters of a page's node outside links and known junk."""
     if isinstance(node, Text):
-        return len(node.text) - node.linked
+        return 0 if 2 * node.linked > len(node.text) else len(node.text) - node.linked
     return 0 if node.junk else sum(map(own_chars, node.kids))
 
 
@@ -286,7 +286,7 @@ def aligned(a: list[dict], b: list[dict]) -> list[dict]:
 def mass(item: dict) -> int:
     """Characters outside links and known junk, fixed texts left out."""
     if item["l"] == "#":
-        return 0 if fixed(item) else item["chars"] - item["linked"]
+        return 0 if fixed(item) or 2 * item["linked"] > item["chars"] else item["chars"] - item["linked"]
     return 0 if item.get("junk") else sum(map(mass, item["kids"]))
 
 
@@ -331,8 +331,9 @@ def mark(root: list[dict]) -> list[dict]:
 def extract(page: str, wrapper: list[dict]) -> str:
     """The texts of a page's article.  It is in the blocks made for an article
     that the wrapper knows as main or that hold half of the page's own text,
-    ``<article>`` before others around or inside it; else in the lowest block
-    that still holds most of the page's own text, without its template and link
+    ``<article>`` before others around or inside it, else the outermost one, or
+    what in it holds all its own text if it has no more than a name; else in the
+    lowest block that holds all of the page's own text, without its template and link
     texts (linked headings stay).  Known junk is left out."""
     texts: list[tuple[str, bool, bool]] = []  # with: of the template, linked
     spans: list[tuple[int, int]] = []  # of the texts of every block, outer blocks behind inner ones
@@ -359,7 +360,7 @@ def extract(page: str, wrapper: list[dict]) -> str:
                     known = bool(item and item["fixed"]) and item["fixed"] == hash_of(node.text)
                     linked = item["linked"] if item else 2 * node.linked > len(node.text)
                     texts.append((node.text, known, linked and tag not in HEADINGS))
-                    weights.append(0 if known else len(node.text) - node.linked)
+                    weights.append(0 if known or linked else len(node.text) - node.linked)
                 elif not node.junk:
                     first = len(texts)
                     walk(node.kids, item["kids"] if item else None, node.tag)
@@ -376,10 +377,14 @@ def extract(page: str, wrapper: list[dict]) -> str:
     held = [x for x in named if x[3] or 2 * weight(x) >= total]
     strong = [x for x in held if x[2].tag == "article"]
     apart = [x for x in held if not any(x[0] < y[1] and y[0] < x[1] for y in strong)]
-    if chosen := strong + ([min(apart, key=weight)] if apart else []):
+    for x in [x for x in apart if not any(y is not x and y[0] <= x[0] and x[1] <= y[1] and (
+            (y[0], y[1]) != (x[0], x[1]) or apart.index(y) > apart.index(x)) for y in apart)]:
+        # inner blocks come first
+        strong.append(x if x[2].holder or not weight(x) else next(y for y in apart if x[0] <= y[0] and y[1] <= x[1] and weight(y) == weight(x)))
+    if chosen := strong:
         keep = {i for x in chosen for i in range(x[0], x[1])}
     else:
-        first, end = next((x for x in spans if 10 * weight(x) >= 7 * total > 0), (0, len(texts)))
+        first, end = next((x for x in spans if weight(x) == total > 0), (0, len(texts)))
         keep = {i for i in range(first, end) if not texts[i][1] and not texts[i][2]}
     return " ".join(texts[i][0] for i in sorted(keep))
 

@@ -100,6 +100,21 @@ def test_links_inside_the_article_stay(spark):
     assert all(got[20 + n].removeprefix(f"Title {n} ") == f"{words(n, 9)} {words(n, 9)}" for n in range(6))
 
 
+def test_no_share_of_the_article_is_lost(spark):
+    plain = lambda n: (f"<body><ul><li><a href=/{n}>Go {n}</a></li></ul><div><h1>Title {n}</h1><div class=intro>{words(n, 20)}</div>"
+                       f"<div class=rest>{words(n, 60)}</div></div><div>All rights reserved</div></body>")
+    rows = [(n, "http://plain.example/", plain(n)) for n in range(6)]
+    parts = lambda n: (f"<body><main><section class=content>{words(n, 60)}</section><section>{words(n, 40)}</section>"
+                       f"<div class=share>Share {n}</div></main><div>Side {n}</div></body>")
+    rows += [(10 + n, "http://main.example/", parts(10 + n)) for n in range(6)]
+    posts = lambda n: "<body><div>" + "".join(f"<div class=entry><p>{words(n, k)}</p></div>" for k in (9, 8, 7)) + "</div></body>"
+    rows += [(20 + n, "http://list.example/", posts(20 + n)) for n in range(6)]
+    got = {r.page_id: r.text for r in W.main_texts(frame(spark, rows)).collect()}
+    assert all(got[n] == f"Title {n} {words(n, 20)} {words(n, 60)}" for n in range(6))
+    assert all(got[n] == f"{words(n, 60)} {words(n, 40)}" for n in range(10, 16))
+    assert all(got[n] == f"{words(n, 9)} {words(n, 8)} {words(n, 7)}" for n in range(20, 26))
+
+
 def test_query_on_the_given_pages(spark):
     need_testdata()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op4_html_wrapper"](spark, SF0001).collect()}
