@@ -32,6 +32,7 @@ from .common import materialize
 
 # Second-round groups of a host; items of one level before it is held as a bag; levels, deeper blocks are one text each.
 SALTS, WIDEST, DEEPEST = 32, 48, 80
+SHARED = 4  # different pages that share a text of the template
 
 # HTML's kinds of elements, and names that sites give to what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -163,8 +164,8 @@ def blocks_of(page: str) -> Block:
 
 # --------------------------------------------------------------- wrappers
 # An item of a wrapper: {"l": label, "n": pages, "opt": bool, "rep": bool, "kids": items} for a block or, with the
-# label "(...)", a repeated group; {"l": "#", "n", "opt", "rep", "fixed": hash of the text or None, "chars", "linked"}
-# for a text.  Blocks made for an article have "own", the own characters of the pages that have them.
+# label "(...)", a repeated group; {"l": "#", "n", "opt", "rep", "fixed": hash of the text or None, "chars", "linked",
+# "seen": hashes of some pages with it} for a text.  Blocks made for an article have "own", the own characters of the pages that have them.
 def _runs(labels: list[str]) -> Iterator[tuple[int, int, int]]:
     """``(first, period, times)``: labels in turn, repeated stretches of one to three taken together."""
     i = 0
@@ -200,30 +201,40 @@ def own_chars(node) -> int:
     return 0 if node.junk else sum(map(own_chars, node.kids))
 
 
+def own_texts(node) -> Iterator[str]:
+    """A page's texts outside links and known junk."""
+    if isinstance(node, Text):
+        if 2 * node.linked <= len(node.text):
+            yield node.text
+    elif not node.junk:
+        for kid in node.kids:
+            yield from own_texts(kid)
+
+
 def page_items(page: str) -> list[dict]:
     """A page as a wrapper: one item for its root."""
     root = blocks_of(page)
-    return items_of([root], own_chars(root))
+    return items_of([root], own_chars(root), hash_of("\n".join(own_texts(root)))[:16])
 
 
 def hash_of(text: str) -> str:
     return hashlib.md5(text.encode()).hexdigest()
 
 
-def items_of(kids: list, own: int = 0) -> list[dict]:
-    """A level of a page with ``own`` characters as wrapper items."""
+def items_of(kids: list, own: int = 0, page: str = "") -> list[dict]:
+    """A level of a page with ``own`` characters and texts of hash ``page`` as wrapper items."""
     out = []
     for label, parts in fold(kids):
         made = None
         for part in parts:
             if label[0] == "(":
-                item = {"l": label, "n": 1, "opt": False, "kids": items_of(part, own)}
+                item = {"l": label, "n": 1, "opt": False, "kids": items_of(part, own, page)}
             elif isinstance(part[0], Text):
                 item = {"l": "#", "n": 1, "opt": False, "fixed": hash_of(part[0].text), "chars": len(part[0].text),
-                        "linked": part[0].linked}
+                        "linked": part[0].linked, "seen": [page]}
             else:
                 b = part[0]
-                item = {"l": label, "n": 1, "opt": False, "junk": b.junk, "holder": b.holder, "kids": items_of(b.kids, own)}
+                item = {"l": label, "n": 1, "opt": False, "junk": b.junk, "holder": b.holder, "kids": items_of(b.kids, own, page)}
                 if b.made:
                     item["own"] = own
             made = item if made is None else merged(made, item)
@@ -260,6 +271,7 @@ def merged(a: dict, b: dict) -> dict:
     if a["l"] == "#":
         out.update(fixed=a["fixed"] if a["fixed"] == b["fixed"] else None, chars=a["chars"] + b["chars"],
                    linked=a["linked"] + b["linked"])
+        out["seen"] = [] if out["fixed"] is None else sorted({*a["seen"], *b["seen"]})[:SHARED]
     else:
         out["kids"] = aligned(a["kids"], b["kids"])
         if "own" in a:
@@ -291,8 +303,9 @@ def mass(item: dict) -> int:
 
 
 def fixed(item: dict) -> bool:
-    """A text that several pages share at its place belongs to the template."""
-    return item["n"] >= 4 and item["fixed"] is not None and not item.get("rep")
+    """A text that several pages share at its place belongs to the template;
+    copies of a page count once."""
+    return len(item["seen"]) >= SHARED and item["fixed"] is not None and not item.get("rep")
 
 
 def mark(root: list[dict]) -> list[dict]:
@@ -315,7 +328,7 @@ def mark(root: list[dict]) -> list[dict]:
             if x["l"] == "#":
                 x["fixed"] = x["fixed"] if fixed(x) else None
                 x["linked"] = 2 * x["linked"] > x["chars"]
-                x.pop("chars")
+                x.pop("chars"), x.pop("seen")
             else:
                 if "own" in x:
                     # template texts count as far as they must be on these pages
@@ -334,7 +347,8 @@ def extract(page: str, wrapper: list[dict]) -> str:
     ``<article>`` before others around or inside it, else the outermost one, or
     what in it holds all its own text if it has no more than a name; else in the
     lowest block that holds all of the page's own text, without its template and link
-    texts (linked headings stay).  Known junk is left out."""
+    texts (linked headings stay), or in all texts if that leaves none.  Known junk is
+    left out."""
     texts: list[tuple[str, bool, bool]] = []  # with: of the template, linked
     spans: list[tuple[int, int]] = []  # of the texts of every block, outer blocks behind inner ones
     named: list[tuple[int, int, Block, bool]] = []
@@ -386,6 +400,8 @@ def extract(page: str, wrapper: list[dict]) -> str:
     else:
         first, end = next((x for x in spans if weight(x) == total > 0), (0, len(texts)))
         keep = {i for i in range(first, end) if not texts[i][1] and not texts[i][2]}
+    # a page that has any text gives some
+    keep = keep or {i for i, x in enumerate(texts) if not x[2]} or set(range(len(texts)))
     return " ".join(texts[i][0] for i in sorted(keep))
 
 

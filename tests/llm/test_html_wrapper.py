@@ -115,6 +115,20 @@ def test_no_share_of_the_article_is_lost(spark):
     assert all(got[n] == f"{words(n, 9)} {words(n, 8)} {words(n, 7)}" for n in range(20, 26))
 
 
+def test_copies_without_an_article_block_are_extracted(spark):
+    page = "<body><ul><li><a href=/>Go</a></li></ul><div><h1>One title</h1><div>One text</div></div><nav>Menu %d</nav></body>"
+    rows = [(n, "http://copies.example/", page % n) for n in range(9)]
+    other = "<body><div><h1>Title %d</h1><div>Text %d</div></div><div>All rights reserved</div></body>"
+    rows += [(10 + n, "http://mixed.example/", other % (max(n, 5), max(n, 5))) for n in range(9)]
+    rows += [(20 + n, "http://same.example/", f"<body><div><p>Not found</p></div><a href=/>Link {n}</a></body>") for n in range(9)]
+    rows += [(30 + n, "http://links.example/", f"<body><a href=/>Link {n}</a></body>") for n in range(5)]
+    got = {r.page_id: r.text for r in W.main_texts(frame(spark, rows)).collect()}
+    assert {got[n] for n in range(9)} == {"One title One text"}
+    assert all(got[10 + n] == f"Title {max(n, 5)} Text {max(n, 5)}" for n in range(9))
+    assert {got[20 + n] for n in range(9)} == {"Not found"}
+    assert all(got[30 + n] == f"Link {n}" for n in range(5))
+
+
 def test_query_on_the_given_pages(spark):
     need_testdata()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op4_html_wrapper"](spark, SF0001).collect()}
