@@ -2,7 +2,7 @@
 
 Each stage gets the documents that its predecessor kept, written as Parquet and
 read again.  The first four return documents; the last returns packed rows of
-token ids.
+token ids, with ``batch`` for their order.
 """
 from __future__ import annotations
 
@@ -37,8 +37,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed rows of token ids."""
-    return packed(docs)
+    """Packed rows of token ids, in numbered batches that follow the mix: files
+    are read in any order, so the documents take their places again."""
+    return packed(mixed(docs), numbered=True)
 
 
 STAGES = [

@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +132,7 @@ SCHEMA = ("input_ids binary, cu_seqlens array<int>, position_ids binary, doc_ids
 
 
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
-           row_tokens: int = ROW_TOKENS, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+           row_tokens: int = ROW_TOKENS, batch_tokens: int = BATCH_TOKENS, numbered: bool = False) -> DataFrame:
     """One row per packed sequence of ``row_tokens`` places.
 
     ``input_ids`` holds little-endian token ids (two bytes each where the
@@ -140,7 +141,9 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     ``position_ids`` the places counted from 0 anew in every segment (two bytes
     each up to 65,536 places); ``doc_ids`` and ``offsets`` tell for each segment
     its document and the first token of it that the segment holds; ``n_tokens``
-    the used places.
+    the used places.  With ``numbered`` a column ``batch`` tells the batch that a
+    row was packed in: batches rise with the order of the tasks and, in a task,
+    of its rows.
 
     Null and empty texts are the end-of-text id alone, so every row of ``docs``
     has a segment; repeated rows and null ids keep theirs.  Other columns are
@@ -155,19 +158,24 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         codes = encoders(sent.value)
         end = codes[0].n_vocab
         kind = np.dtype("<u2") if end < 1 << 16 else np.dtype("<u4")
-        held, total = [], 0
+        held, total, place = [], 0, (TaskContext.get().partitionId() << 32) if numbered else 0
+
+        def pack() -> pa.RecordBatch:
+            rows = _pack(held, row_tokens, end, kind)
+            return rows.append_column("batch", pa.array([place] * rows.num_rows, pa.int64())) if numbered else rows
+
         for batch in batches:
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
                 ids = np.array(encode(text.as_py(), codes) + [end], kind)
                 held += [(doc, at, ids[at : at + row_tokens]) for at in range(0, len(ids), row_tokens)]
                 total += len(ids)
                 if total >= batch_tokens:
-                    yield _pack(held, row_tokens, end, kind)
-                    held, total = [], 0
+                    yield pack()
+                    held, total, place = [], 0, place + 1
         if held:
-            yield _pack(held, row_tokens, end, kind)
+            yield pack()
 
-    return rows.mapInArrow(kernel, SCHEMA)
+    return rows.mapInArrow(kernel, SCHEMA + (", batch bigint" if numbered else ""))
 
 
 def write_packed(docs: DataFrame, path: str, **options) -> None:

@@ -5,6 +5,7 @@ import numpy as np
 import corpus_pipeline as P
 from martflow.llm import golay_dedup, pfair_mix, quality_rules, string_tiling
 from martflow.llm.common import table
+from martflow.llm.packing import packed
 from pyspark.sql import functions as F
 from tests.conftest import SF0001, need_testdata
 
@@ -35,6 +36,21 @@ def test_stages_take_effect_and_end_in_packed_rows(spark):
     assert sum(r.n_tokens for r in rows) == sum(int((np.diff(r.cu_seqlens)).sum()) for r in rows)
 
 
+def test_packed_batches_follow_the_mix_whatever_the_files(spark, tmp_path, monkeypatch):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 5 + id % 90)").alias("text"), F.lit("en").alias("lang"),
+                                    F.expr("if(id % 10 = 0, 'small', 'large')").alias("source"), F.lit(1).alias("n_chars"))
+    docs.repartition(7, F.col("doc_id") % 3).write.parquet(str(tmp_path / "stage"))  # files of unequal size, in no order
+    stage = spark.read.parquet(str(tmp_path / "stage"))
+    monkeypatch.setattr(P, "packed", lambda d, **o: packed(d, batch_tokens=1 << 13, **o))
+    place = {r.doc_id: r.place for r in pfair_mix.mix_order(docs).collect()}
+    batches: dict[int, list[int]] = {}
+    for r in P.tokens(spark, stage, "").collect():
+        batches.setdefault(r.batch, []).extend(place[d] for d in r.doc_ids)
+    assert len(batches) > 5 and sum(map(len, batches.values())) >= 3000
+    ends = [(min(batches[b]), max(batches[b])) for b in sorted(batches)]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
 def test_null_ids_and_repeats_pass_through(spark, tmp_path):
     docs = spark.createDataFrame(
         [(1, "one two three four", "en", None, 1), (1, "one two three four", "en", "a", 1), (None, None, None, None, None),
