@@ -9,6 +9,8 @@ appear, but their GMV is the whole day's GMV.
 """
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,17 +81,26 @@ def repurchase_7d(
     return _finish(per_day, window_days, last)
 
 
+def days_near(day: str, window_days: int = REPURCHASE_WINDOW_DAYS) -> list[str]:
+    """The days of user-days that ``repurchase_after_day`` needs."""
+    at = date.fromisoformat(day)
+    return [(at + timedelta(days=i)).isoformat() for i in range(-window_days, window_days + 1)]
+
+
 def repurchase_after_day(
-    user_day: DataFrame, stored: DataFrame, day: str, window_days: int = REPURCHASE_WINDOW_DAYS
+    user_day: DataFrame, stored: DataFrame, day: str, window_days: int = REPURCHASE_WINDOW_DAYS,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """The daily table after ``day`` of ``user_day`` changed, from the ``stored``
     one: only cohorts from ``window_days`` before up to the day can differ, and
-    they depend on user-days up to ``window_days`` behind it, so a
-    day-partitioned ``user_day`` is read there alone (and its days for the last
-    one).  ``window_complete`` is set anew on every row."""
+    they depend on user-days up to ``window_days`` behind it (``days_near``), so
+    ``user_day`` is read there alone.  ``last`` is the last day of all user-days
+    (``max_dt``, one row); without it ``user_day`` must hold every day.
+    ``window_complete`` is set anew on every row."""
     changed = F.lit(day).cast("date")
     low, high = F.date_sub(changed, window_days), F.date_add(changed, window_days)
-    last = user_day.agg(F.max("dt").alias("max_dt"))
+    if last is None:
+        last = user_day.agg(F.max("dt").alias("max_dt"))
     near = repurchase_7d(user_day.filter(F.col("dt").between(low, high)), window_days, last)
     fresh = near.filter(F.col("dt").between(low, changed))
     kept = stored.filter(~F.col("dt").between(low, changed)).crossJoin(F.broadcast(last)).withColumn(
@@ -149,12 +160,18 @@ def kpi_overview(orders_fact: DataFrame, user_day: DataFrame, daily: DataFrame)
     one-row frames.
     """
     paid = F.col("is_paid") == 1
-    complete = F.col("window_complete") == 1
     orders_part = orders_fact.agg(
         F.count_if(paid).alias("paid_orders"),
         F.count_distinct(F.when(paid, F.col("user_id"))).alias("paid_users"),
     )
     gmv_part = user_day.agg(money_sum(F.col("gmv")).alias("gmv_total"))
+    return kpi_of_totals(orders_part.crossJoin(F.broadcast(gmv_part)), daily)
+
+
+def kpi_of_totals(totals: DataFrame, daily: DataFrame) -> DataFrame:
+    """The KPI row from its one-row totals (``paid_orders``, ``paid_users``,
+    ``gmv_total``) and the daily table."""
+    complete = F.col("window_complete") == 1
     window_part = daily.agg(
         F.coalesce(F.sum(F.when(complete, F.col("buyers")).otherwise(0)), F.lit(0))
         .cast("long")
@@ -164,8 +181,7 @@ def kpi_overview(orders_fact: DataFrame, user_day: DataFrame, daily: DataFrame)
         .alias("repurchase_users_complete_window"),
     )
     return (
-        orders_part.crossJoin(F.broadcast(gmv_part))
-        .crossJoin(F.broadcast(window_part))
+        totals.crossJoin(F.broadcast(window_part))
         .select(
             "paid_orders",
             "paid_users",
@@ -179,6 +195,29 @@ def kpi_overview(orders_fact: DataFrame, user_day: DataFrame, daily: DataFrame)
     )
 
 
+def paid_days(user_day: DataFrame) -> DataFrame:
+    """``(user_id, days)``: on how many days each user has paid orders."""
+    return user_day.filter(_buyer()).groupBy("user_id").agg(F.count(F.lit(1)).alias("days"))
+
+
+def paid_days_change(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``(user_id, days)`` with 1 or -1 for the users whom a new version of one
+    day's user-days makes a paid user of that day, or no longer one."""
+    old = before.filter(_buyer()).select("user_id", F.lit(-1).cast("long").alias("days"))
+    new = after.filter(_buyer()).select("user_id", F.lit(1).cast("long").alias("days"))
+    return old.unionByName(new).groupBy("user_id").agg(F.sum("days").alias("days")).filter("days <> 0")
+
+
+def paid_users_change(paid: DataFrame, change: DataFrame) -> DataFrame:
+    """One row, ``paid_users``: by how many users the count of those with paid
+    days grows when ``change`` is added to ``paid``.  Only the changed users' rows
+    of ``paid`` (of which a user may have several) are summed."""
+    now = paid.join(change.select("user_id"), "user_id", "left_semi").groupBy("user_id").agg(F.sum("days").alias("had"))
+    both = change.join(now, "user_id", "left").withColumn("had", F.coalesce("had", F.lit(0)))
+    step = (F.col("had") + F.col("days") > 0).cast("long") - (F.col("had") > 0).cast("long")
+    return both.agg(F.coalesce(F.sum(step), F.lit(0)).cast("long").alias("paid_users"))
+
+
 def complete_days(daily: DataFrame) -> DataFrame:
     """Trend-safe cohort days only."""
     return daily.filter(F.col("window_complete") == 1)

@@ -34,7 +34,11 @@ def reconcile_report(
     dwd_day = orders_fact.groupBy("dt").agg(
         F.sum(F.when(paid, F.col("net_gmv")).otherwise(0)).alias("dwd")
     )
-    dws_day = user_day.groupBy("dt").agg(F.sum("gmv").alias("dws"))
+    return reconcile_days(dwd_day, user_day.groupBy("dt").agg(F.sum("gmv").alias("dws")), kpi, daily)
+
+
+def reconcile_days(dwd_day: DataFrame, dws_day: DataFrame, kpi: DataFrame, daily: DataFrame) -> DataFrame:
+    """The report from the totals by day of DWD (``dt, dwd``) and DWS (``dt, dws``)."""
     ads_day = daily.select("dt", F.col("gmv").alias("ads"))
     day = dwd_day.join(dws_day, "dt", "full_outer").join(ads_day, "dt", "full_outer")
     totals = day.agg(money_sum(F.col("dwd")).alias("dwd"), money_sum(F.col("dws")).alias("dws")).crossJoin(

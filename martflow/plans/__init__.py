@@ -5,9 +5,9 @@ from martflow.plans.pipeline import (  # noqa: F401
     OK,
     Layers,
     RunResult,
-    Warehouse,
     build_layers,
     publish_ads,
     run_day,
     run_full,
+    write_layers,
 )

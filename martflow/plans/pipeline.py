@@ -1,87 +1,60 @@
 """End-to-end runs: full refresh and partition-scoped day re-run.
 
-Every run works in a folder of its own below the session's checkpoint folder:
-there each layer is written once, flat, and read back before the next layer is
-built, so a lost executor only costs the current layer's tasks, runs side by
-side do not meet, and the warehouse is untouched until the gates have passed.
-The day folders are written from these copies.  Only gate names and counts, the
-list of written days and the one-row verdict reach the driver.
-
-Outcome codes: 0 ok; 1 malformed run day; 2 gate failure, empty day without
-``allow_empty``, or reconcile failure.
+A run stages its ODS once in a folder of its own below the session's checkpoint
+folder and checks it there: the gates, and that no value is lost when amounts are
+narrowed to the types of the facts.  Only then layers are written, each once,
+into folders that nobody reads yet (``martflow.storage.Run``); the next layer is
+built from what was written, so a lost executor only costs the current layer's
+tasks.  One switch at the end makes all tables of the run the current ones: a
+run that stops anywhere leaves the warehouse as it was.
+
+Day totals come from the ledgers written beside the facts.  A re-run of one day
+reads that day, the days around it and the ledgers, never the other days' facts.
+Only gate names and counts, row counts and the one-row verdict reach the driver.
+
+Outcome codes: 0 ok; 1 malformed run day; 2 gate failure, a value that does not
+fit its column, empty day without ``allow_empty``, reconcile failure, or another
+run that changed the warehouse meanwhile.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from martflow.functions.columns import money_sum
 from martflow.operators import ads, dwd, dws
 from martflow.operators.gates import QualityError, check_gates, gate_report
 from martflow.operators.reconcile import (
-    REPORT_COLUMNS,
-    reconcile_report,
+    reconcile_days,
     reconcile_verdict,
     report_text,
 )
 from martflow.operators.slicing import day_slice, parse_day
-from martflow.schema import DWD_ORDER_TYPES, DWS_USER_TYPES
+from martflow.schema import DWD_ITEM_TYPES, DWD_ORDER_TYPES, count_rejects
 from martflow.session import scratch_path
-from martflow.sinks.warehouse import save_csv, save_day, save_partitioned, save_table
-from martflow.sources.ods_csv import Ods, read_text_csv
-from martflow.sources.warehouse import read_partitioned, read_table
+from martflow.sinks.warehouse import export_csv
+from martflow.sources.ods_csv import Ods
+from martflow.storage import Run, StaleRun
 
 OK, BAD_DAY, FAILED = 0, 1, 2
 
 
-@dataclass(frozen=True)
-class Warehouse:
-    """Folder layout of the warehouse under one root."""
+# tables below the warehouse root
+DIM_USER, FACT_ORDER, FACT_ITEM = "dwd/dim_user", "dwd/fact_order", "dwd/fact_order_item"
+USER_DAY, CATEGORY_DAY, PAID_DAYS = "dws/user_order_1d", "dws/category_gmv_1d", "dws/user_paid_days"
+DAILY, KPI = "ads/repurchase_7d", "ads/kpi_overview"
+KPI_CSV, DAILY_CSV, REPORT_CSV = "ads/ads_kpi_overview_csv", "ads/ads_repurchase_7d_csv", "ads/gmv_reconcile_report_csv"
+KPI_FILE = "ads/ads_kpi_overview.csv"  # one file, for people
 
-    root: str
 
-    def path(self, rel: str) -> str:
-        return f"{self.root.rstrip('/')}/{rel}"
-
-    @property
-    def dim_user(self) -> str:
-        return self.path("dwd/dim_user")
-
-    @property
-    def fact_order(self) -> str:
-        return self.path("dwd/fact_order")
-
-    @property
-    def fact_order_item(self) -> str:
-        return self.path("dwd/fact_order_item")
-
-    @property
-    def user_order_1d(self) -> str:
-        return self.path("dws/user_order_1d")
-
-    @property
-    def category_gmv_1d(self) -> str:
-        return self.path("dws/category_gmv_1d")
-
-    @property
-    def repurchase_7d(self) -> str:
-        return self.path("ads/repurchase_7d")
-
-    @property
-    def kpi_overview(self) -> str:
-        return self.path("ads/kpi_overview")
-
-    @property
-    def kpi_csv(self) -> str:
-        return self.path("ads/ads_kpi_overview_csv")
-
-    @property
-    def repurchase_csv(self) -> str:
-        return self.path("ads/ads_repurchase_7d_csv")
-
-    @property
-    def reconcile_csv(self) -> str:
-        return self.path("ads/gmv_reconcile_report_csv")
+def _sums(name: str) -> dict:
+    """What the ledger of a table keeps by day."""
+    if name == FACT_ORDER:
+        paid = F.col("is_paid") == 1
+        return {"dwd": F.sum(F.when(paid, F.col("net_gmv")).otherwise(0)), "paid_orders": F.count_if(paid)}
+    return {"dws": F.sum("gmv")} if name == USER_DAY else {}
 
 
 @dataclass
@@ -92,6 +65,7 @@ class RunResult:
     kpi: DataFrame | None = None
     daily: DataFrame | None = None
     reconcile: DataFrame | None = None
+    ods_rows: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass
@@ -122,43 +96,74 @@ def build_layers(ods: Ods, check: bool = True) -> Layers:
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
-    save_table(df, path)
-    return read_table(df.sparkSession, path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _gated(ods: Ods, run: str) -> tuple[Ods, RunResult | None]:
-    """The ODS as this run's own copy, and the failed result if a gate fails.  The
-    report is stored with the run, so no later run changes it."""
-    own = Ods(*[_staged(df, f"{run}/ods/{name}") for name, df in zip(Ods._fields, ods)])
-    report = _staged(gate_report(*own), f"{run}/gates")
+def _checked(ods: Ods, folder: str) -> tuple[Ods, dict[str, int], RunResult | None]:
+    """The ODS as this run's own copy, its row counts, and the failed result if a
+    gate fails or a value would be lost in the facts.  The report is stored with the
+    run, so no later run changes it."""
+    own = Ods(*[_staged(df, f"{folder}/ods/{name}") for name, df in zip(Ods._fields, ods)])
+    rows = {name: df.count() for name, df in zip(Ods._fields, own)}
+    report = _staged(gate_report(*own), f"{folder}/gates")
     try:
         check_gates(report)
     except QualityError as err:
-        return own, RunResult(FAILED, str(err), gates=report)
-    return own, None
+        return own, rows, RunResult(FAILED, str(err), gates=report, ods_rows=rows)
+    for table, df, types in (("fact_order", own.orders, DWD_ORDER_TYPES), ("fact_order_item", own.items, DWD_ITEM_TYPES)):
+        for lost in count_rejects(df, types).filter("rejected > 0").collect():
+            message = f"{table}.{lost['column']}: {lost['rejected']} values do not fit {lost['type']}"
+            return own, rows, RunResult(FAILED, message, gates=report, ods_rows=rows)
+    return own, rows, None
 
 
-def publish_ads(
-    spark: SparkSession, wh: Warehouse, fo: DataFrame, ud: DataFrame, day: str | None = None
-) -> RunResult:
-    """Write ADS and the reports and reconcile the three layers.
+def write_layers(run: Run, ods: Ods, day: str | None = None) -> None:
+    """The dimension, the facts and their summaries, each built from the one before
+    as stored; with ``day`` the facts and summaries of this day only."""
+
+    def save(df: DataFrame, name: str) -> DataFrame:
+        return run.save_days(df, name, _sums(name)) if day is None else run.save_day(df, name, day, _sums(name))
+
+    run.save(dwd.dim_user(ods.users), DIM_USER)
+    fo = save(dwd.fact_order(ods.orders), FACT_ORDER)
+    fi = save(dwd.fact_order_item(ods.items, fo), FACT_ITEM)
+    save(dws.user_order_1d(fo), USER_DAY)
+    save(dws.category_gmv_1d(fi), CATEGORY_DAY)
 
-    ``fo`` and ``ud`` are the whole order fact and user-days.  With ``day`` only
-    the cohorts that this day can change are computed and merged into the stored
-    daily table; without it all are.
+
+def _paid_users(run: Run, day: str | None) -> DataFrame:
+    """One row, the distinct paid users, and the table of paid days that it is kept by."""
+    if day is None:
+        return run.save(ads.paid_days(run.read(USER_DAY)), PAID_DAYS).agg(F.count(F.lit(1)).alias("paid_users"))
+    before = run.before(PAID_DAYS)
+    change = ads.paid_days_change(run.before(USER_DAY, [day]), run.read(USER_DAY, [day]))
+    run.append(change, PAID_DAYS)
+    grown = ads.paid_users_change(before, change).select(F.col("paid_users").alias("more"))
+    return run.before(KPI).crossJoin(F.broadcast(grown)).select((F.col("paid_users") + F.col("more")).alias("paid_users"))
+
+
+def publish_ads(run: Run, day: str | None = None) -> RunResult:
+    """Write ADS and the reports and reconcile the three layers, from this run's tables.
+
+    With ``day`` only what this day can change is computed: its cohorts and those
+    of the days before, and the paid users it gains or loses.  Day totals come from
+    the ledgers either way.
     """
+    orders, user_days = run.ledger(FACT_ORDER), run.ledger(USER_DAY)
+    last = user_days.agg(F.max("dt").alias("max_dt"))
     if day is None:
-        daily = ads.repurchase_7d(ud)
+        daily = ads.repurchase_7d(run.read(USER_DAY), last=last)
     else:
-        daily = ads.repurchase_after_day(ud, read_table(spark, wh.repurchase_7d), day)
-    save_table(daily.orderBy("dt"), wh.repurchase_7d)
-    daily = read_table(spark, wh.repurchase_7d)
-    save_table(ads.kpi_overview(fo, ud, daily), wh.kpi_overview)
-    kpi = read_table(spark, wh.kpi_overview)
-    save_csv(kpi, wh.kpi_csv)
-    save_csv(daily.orderBy("dt"), wh.repurchase_csv)
-    save_csv(report_text(reconcile_report(fo, ud, kpi, daily)), wh.reconcile_csv)
-    report = read_text_csv(spark, wh.reconcile_csv, REPORT_COLUMNS)
+        daily = ads.repurchase_after_day(run.read(USER_DAY, ads.days_near(day)), run.before(DAILY), day, last=last)
+    daily = run.save(daily.coalesce(1).sortWithinPartitions("dt"), DAILY)
+    totals = orders.agg(F.coalesce(F.sum("paid_orders"), F.lit(0)).alias("paid_orders")).crossJoin(
+        F.broadcast(_paid_users(run, day))).crossJoin(F.broadcast(user_days.agg(money_sum(F.col("dws")).alias("gmv_total"))))
+    kpi = run.save(ads.kpi_of_totals(totals, daily), KPI)
+    run.save_csv(kpi, KPI_CSV)
+    run.save_csv(daily.orderBy("dt"), DAILY_CSV)
+    dwd_day, dws_day = orders.groupBy("dt").agg(F.sum("dwd").alias("dwd")), user_days.groupBy("dt").agg(F.sum("dws").alias("dws"))
+    report = run.save_csv(report_text(reconcile_days(dwd_day, dws_day, kpi, daily)), REPORT_CSV)
     verdict = reconcile_verdict(report).first()
     status = OK if verdict["verdict"] == "PASS" else FAILED
     return RunResult(
@@ -170,28 +175,23 @@ def publish_ads(
     )
 
 
-def _built(ods: Ods, run: str) -> Layers:
-    """This run's flat copies of the stored layers."""
-    fo = _staged(dwd.fact_order(ods.orders), f"{run}/fact_order")
-    fi = _staged(dwd.fact_order_item(ods.items, fo), f"{run}/fact_order_item")
-    ud = _staged(dws.user_order_1d(fo), f"{run}/user_order_1d")
-    return Layers(dwd.dim_user(ods.users), fo, fi, ud,
-                  _staged(dws.category_gmv_1d(fi), f"{run}/category_gmv_1d"), None, None)
+def _finish(run: Run, ods: Ods, rows: dict[str, int], day: str | None, ads_day: str | None) -> RunResult:
+    write_layers(run, ods, day)
+    result = publish_ads(run, ads_day)
+    result.ods_rows = rows
+    try:
+        run.commit()
+    except StaleRun as err:
+        return RunResult(FAILED, str(err), ods_rows=rows)
+    export_csv(result.kpi, f"{run.root}/{KPI_FILE}")
+    return result
 
 
 def run_full(spark: SparkSession, ods: Ods, warehouse: str) -> RunResult:
-    """Gates, then a full rewrite of every layer, then ADS and reconcile."""
-    wh, run = Warehouse(warehouse), scratch_path(spark, "run_full")
-    ods, failed = _gated(ods, run)
-    if failed is not None:
-        return failed
-    built = _built(ods, run)
-    save_table(built.dim_user, wh.dim_user)
-    save_partitioned(built.fact_order, wh.fact_order)
-    save_partitioned(built.fact_order_item, wh.fact_order_item)
-    save_partitioned(built.user_order_1d, wh.user_order_1d)
-    save_partitioned(built.category_gmv_1d, wh.category_gmv_1d)
-    return publish_ads(spark, wh, built.fact_order, built.user_order_1d)
+    """Gates, then a full rewrite of every layer, ADS and reconcile, then the switch."""
+    run = Run(spark, warehouse)
+    ods, rows, failed = _checked(ods, scratch_path(spark, "run_full"))
+    return failed or _finish(run, ods, rows, None, None)
 
 
 def run_day(
@@ -202,26 +202,18 @@ def run_day(
     allow_empty: bool = False,
     full_ads: bool = False,
 ) -> RunResult:
-    """Re-run one day: gates on the day slice, overwrite only ``dt=day`` of
-    every fact (an empty day only with ``allow_empty``), refresh the user
-    dimension, then bring ADS up to date (``full_ads``: from every stored day)."""
+    """Re-run one day: gates on the day slice, replace only this day of every fact
+    (an empty day only with ``allow_empty``), refresh the user dimension, then
+    bring ADS up to date (``full_ads``, or a warehouse without ADS: from every
+    stored day)."""
     try:
         day = parse_day(day)
     except ValueError as err:
         return RunResult(BAD_DAY, str(err))
-    wh, run = Warehouse(warehouse), scratch_path(spark, "run_day")
+    run = Run(spark, warehouse)
     sl = day_slice(ods, day)
     if not allow_empty and sl.orders.isEmpty():
         return RunResult(FAILED, f"no orders for dt={day}; pass allow_empty to overwrite it empty")
-    sl, failed = _gated(sl, run)
-    if failed is not None:
-        return failed
-    built = _built(sl, run)
-    save_table(built.dim_user, wh.dim_user)
-    save_day(built.fact_order, wh.fact_order, day)
-    save_day(built.fact_order_item, wh.fact_order_item, day)
-    save_day(built.user_order_1d, wh.user_order_1d, day)
-    save_day(built.category_gmv_1d, wh.category_gmv_1d, day)
-    fo = read_partitioned(spark, wh.fact_order, DWD_ORDER_TYPES)
-    ud = read_partitioned(spark, wh.user_order_1d, DWS_USER_TYPES)
-    return publish_ads(spark, wh, fo, ud, None if full_ads else day)
+    sl, rows, failed = _checked(sl, scratch_path(spark, "run_day"))
+    known = all(n in run.base.tables for n in (USER_DAY, PAID_DAYS, DAILY, KPI))
+    return failed or _finish(run, sl, rows, day, day if known and not full_ads else None)

@@ -7,7 +7,7 @@ and group them, so they are type-generic.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,3 +82,31 @@ def conform(df: DataFrame, types: T.StructType) -> DataFrame:
     ]
     cols += [F.lit(None).cast(t).alias(n) for n, t in wanted.items() if n not in df.columns]
     return df.select(*cols)
+
+
+def _lost(df: DataFrame, types: T.StructType) -> list[tuple[str, Column]]:
+    """By column of ``types`` that ``df`` has in another type: whether ``conform``
+    makes a value NULL."""
+    return [(f.name, F.col(f.name).isNotNull() & as_type(df, f.name, f.dataType).isNull())
+            for f in types.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+
+
+def count_rejects(df: DataFrame, types: T.StructType) -> DataFrame:
+    """``(column, type, rejected)``: how many values of each column ``conform`` would
+    turn into NULL.  One pass over ``df``; columns that keep their type cannot lose
+    any and have no row."""
+    lost = _lost(df, types)
+    if not lost:
+        return df.sparkSession.createDataFrame([], "column string, type string, rejected bigint")
+    counts = df.agg(*[F.count_if(c).alias(n) for n, c in lost])
+    rows = [F.struct(F.lit(n).alias("column"), F.lit(types[n].dataType.simpleString()).alias("type"),
+                     F.col(n).alias("rejected")) for n, _ in lost]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def rejects(df: DataFrame, types: T.StructType, *keys: str) -> DataFrame:
+    """``(keys..., column, value)``: the values that ``conform`` would turn into NULL."""
+    lost = _lost(df, types)
+    bad = [F.when(c, F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("value"))) for n, c in lost]
+    none = F.lit(None).cast("struct<column: string, value: string>")
+    return df.select(*keys, F.inline(F.array_compact(F.array(none, *bad))))

@@ -1,42 +1,22 @@
-"""Writers: whole-table overwrite, day-partitioned facts, single-day
-overwrite (including an explicitly empty day) and CSV reports.
-
-Nothing that is stored is removed before the job that replaces it has
-committed: tables are written beside the old ones and switched, day folders are
-replaced one by one at the commit, and days that the new data lack go last.
+"""Writers at a path of their own: whole-table overwrite, facts with a folder for
+each day, single-day overwrite (including an explicitly empty day) and CSV
+reports.  Runs over many tables write through ``martflow.storage.Run``.
+
+A whole table, a full refresh and a report are written beside what is there and
+become the table by one switch (``martflow.storage``): a write that stops anywhere
+leaves the old table or the new one, whole.  The readers of
+``martflow.sources`` find the current folder.  The folder that was replaced stays
+for readers that are still at it; the next write or ``storage.expire`` removes it.
 """
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.functions.columns import as_date
-
-
-def _fs(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path for it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def _switch(spark: SparkSession, new: str, path: str) -> None:
-    fs, target = _fs(spark, path)
-    fs.delete(target, True)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
-        raise OSError(f"{new} could not be moved to {path}")
-
-
-def _beside(path: str) -> str:
-    return f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
-
-
-def _with_day(df: DataFrame) -> DataFrame:
-    if "dt" not in df.columns:
-        raise ValueError("a partitioned write needs a dt column")
-    return df.withColumn("dt", as_date(df, "dt"))
+from martflow import storage
+from martflow.storage import with_day
 
 
 def _write_days(df: DataFrame, path: str) -> None:
@@ -58,28 +38,33 @@ def _write_days(df: DataFrame, path: str) -> None:
     )
 
 
+def _commit(run: storage.Run) -> None:
+    run.commit()
+    storage.expire(run.spark, run.root, keep=2)
+
+
 def save_table(df: DataFrame, path: str) -> None:
-    """Whole-table overwrite (dimensions, ADS tables); the old table stays until
-    the new one is complete."""
-    new = _beside(path)
-    df.write.parquet(new)
-    _switch(df.sparkSession, new, path)
+    """Whole-table overwrite (dimensions, ADS tables)."""
+    run = storage.Run(df.sparkSession, path)
+    run.save(df, "")
+    _commit(run)
 
 
 def save_partitioned(df: DataFrame, path: str) -> None:
-    """Full refresh of a day-partitioned fact: every day present in ``df`` is
-    rewritten, then the days that ``df`` lacks are removed."""
-    spark = df.sparkSession
-    out = _with_day(df)
-    _write_days(out, path)
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return
-    kept = {f"dt={r['dt']}" for r in out.select("dt").distinct().collect()}
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("dt=") and name not in kept and "__HIVE_DEFAULT" not in name:
-            fs.delete(status.getPath(), True)
+    """Full refresh of a fact with a folder for each day: the new days replace all
+    old ones, rows without a day included.  No rows give an empty table."""
+    run = storage.Run(df.sparkSession, path)
+    run.save_folders(with_day(df), "", _write_days)
+    _commit(run)
+
+
+def _current(df: DataFrame, path: str) -> str:
+    """The folder that holds the days of a table (its own path, if it was never refreshed)."""
+    found = storage.locate(df.sparkSession, path)
+    if found is None:
+        return path.rstrip("/")
+    root, name = found
+    return storage.folder_of(root, storage.latest(df.sparkSession, root).tables[name])
 
 
 def write_empty_day(df: DataFrame, path: str, day: str) -> None:
@@ -88,7 +73,7 @@ def write_empty_day(df: DataFrame, path: str, day: str) -> None:
     Dynamic partition overwrite cannot do this: an empty write touches no
     partition, so the old day would survive.
     """
-    df.limit(0).drop("dt").write.mode("overwrite").parquet(f"{path.rstrip('/')}/dt={day}")
+    df.limit(0).drop("dt").write.mode("overwrite").parquet(f"{_current(df, path)}/dt={day}")
 
 
 def save_day(df: DataFrame, path: str, day: str) -> bool:
@@ -96,17 +81,28 @@ def save_day(df: DataFrame, path: str, day: str) -> bool:
 
     Returns True when the day got rows, False when it was overwritten empty.
     """
-    out = _with_day(df)
+    out = with_day(df)
     part = out.filter(F.col("dt") == F.lit(day).cast("date"))
     if part.isEmpty():
         write_empty_day(part, path, day)
         return False
-    _write_days(part, path)
+    _write_days(part, _current(df, path))
     return True
 
 
 def save_csv(df: DataFrame, path: str) -> None:
     """Headered CSV report (a directory of part files written by the executors)."""
-    new = _beside(path)
-    df.write.option("header", True).csv(new)
-    _switch(df.sparkSession, new, path)
+    run = storage.Run(df.sparkSession, path)
+    run.save_csv(df, "")
+    _commit(run)
+
+
+def export_csv(df: DataFrame, path: str) -> None:
+    """One headered CSV file under a fixed name, for reports that people open by
+    hand; replaced in one step.  All rows pass one task: for small reports."""
+    spark = df.sparkSession
+    aside = f"{path}.new-{uuid.uuid4().hex[:12]}"
+    df.coalesce(1).write.option("header", True).csv(aside)
+    (part,) = [n for n in storage._names(spark, aside) if n.startswith("part-")] or [None]
+    storage.move(spark, f"{aside}/{part}", path, overwrite=True)
+    storage._fs(spark, aside).delete(storage._path(spark, aside), True)

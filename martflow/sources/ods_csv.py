@@ -5,6 +5,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martflow import storage
 from martflow.schema import (
     ITEMS_COLUMNS,
     ODS_ITEMS_TYPES,
@@ -31,7 +32,12 @@ def read_text_csv(spark: SparkSession, path: str, columns) -> DataFrame:
     ``enforceSchema=false`` makes Spark check every file's header against the
     expected names, so a file with reordered or renamed columns fails loudly
     instead of being read by position.
+    A report of ``save_csv`` is read from its current folder.
     """
+    found = storage.locate(spark, path)
+    if found is not None:
+        root, name = found
+        path = storage.folder_of(root, storage.latest(spark, root).tables[name])
     return (
         spark.read.schema(text_schema(columns))
         .option("header", True)

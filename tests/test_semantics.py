@@ -9,6 +9,7 @@ from martflow.operators import QualityError, partition_fingerprint, reconcile_re
 from martflow.operators.gates import check_gates, gate_report
 from martflow.plans import BAD_DAY, FAILED, OK, build_layers, run_day, run_full
 from martflow.sources import read_ods_dir, read_partitioned
+from martflow.storage import stored_days
 from tests.conftest import ods_from_rows, read_rows
 
 
@@ -189,11 +190,11 @@ def test_empty_day_fails_unless_allowed(spark, good_dir, tmp_path):
     assert run_full(spark, ods, wh).status == OK
     before = _fp(spark, f"{wh}/dwd/fact_order", "2025-03-03")
     assert run_day(spark, ods, wh, "2099-01-01").status == FAILED
-    assert not (tmp_path / "wh" / "dwd" / "fact_order" / "dt=2099-01-01").exists()
+    assert "2099-01-01" not in stored_days(spark, f"{wh}/dwd/fact_order")
     for _ in range(2):
         res = run_day(spark, ods, wh, "2099-01-01", allow_empty=True)
         assert res.status == OK, res.message
-        assert (tmp_path / "wh" / "dwd" / "fact_order" / "dt=2099-01-01").is_dir()
+        assert "2099-01-01" in stored_days(spark, f"{wh}/dwd/fact_order")
         assert _fp(spark, f"{wh}/dwd/fact_order", "2025-03-03") == before
         assert _fp(spark, f"{wh}/dwd/fact_order", "2099-01-01") == []
 
@@ -242,12 +243,15 @@ def test_days_side_by_side_on_one_warehouse(spark, good_dir, tmp_path):
 
     def gated(day):  # the part of a day run that used to share a folder
         from martflow.operators import day_slice
-        from martflow.plans.pipeline import _built, _gated
+        from martflow.plans.pipeline import _checked, write_layers
         from martflow.session import scratch_path
+        from martflow.storage import Run
 
-        own, failed = _gated(day_slice(sliced[day], day), scratch_path(spark, "day"))
+        run = Run(spark, wh)
+        own, _, failed = _checked(day_slice(sliced[day], day), scratch_path(spark, "day"))
         assert failed is None
-        return _built(own, scratch_path(spark, "day")).fact_order_item
+        write_layers(run, own, day)
+        return run.read("dwd/fact_order_item", [day])
 
     with ThreadPoolExecutor(2) as pool:
         frames = dict(zip(days, pool.map(gated, days)))

@@ -14,6 +14,7 @@ from martflow.sources import (
     read_ods_dir,
     read_partitioned,
     read_partitioned_csv,
+    read_table,
     read_text_csv,
 )
 from tests.conftest import SF0001, need_testdata
@@ -60,6 +61,20 @@ def test_csv_day_folders_with_drifting_headers(spark, tmp_path):
                    ("O3", "3.00", "app", "2026-07-02")]
 
 
+def test_csv_day_folders_are_scanned_once_whatever_their_headers(spark, tmp_path):
+    texts = {"2026-07-01": "a,b,c\n1,2,3\na,b,c\n", "2026-07-02": 'c,"d, e",a\n4,5\n6,"x, y",7,8\n', "2026-07-03": "b\n\n9\n"}
+    for day, text in texts.items():
+        (tmp_path / f"dt={day}").mkdir()
+        (tmp_path / f"dt={day}" / "p.csv").write_text(text)
+    df = read_partitioned_csv(spark, str(tmp_path))
+    assert df.columns == ["a", "b", "c", "d, e", "dt"]
+    got = sorted((tuple(r)[:4] for r in df.collect()), key=str)
+    assert got == sorted([("1", "2", "3", None), ("a", "b", "c", None), (None, None, "4", "5"), ("7", None, "6", 'x, y'),
+                          (None, "9", None, None)], key=str)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # the header lines and the rows, for three headers
+
+
 def test_csv_day_folders_below_a_path_with_a_space(spark, tmp_path):
     day = tmp_path / "a b" / "dt=2026-07-01"
     day.mkdir(parents=True)
@@ -75,11 +90,11 @@ def test_a_failed_overwrite_keeps_the_old_table(spark, tmp_path):
     path = str(tmp_path / "t")
     good = spark.createDataFrame([("a", 1, dt.date(2026, 7, 1))], "k string, v int, dt date")
     bad = good.withColumn("v", F.raise_error(F.lit("stop")).cast("int"))
-    for save in (save_table, save_partitioned):
+    for save, read in ((save_table, read_table), (save_partitioned, read_partitioned)):
         save(good, path)
         with pytest.raises(Exception):
             save(bad, path)
-        assert spark.read.parquet(path).count() == 1
+        assert read(spark, path).count() == 1
 
 
 def _scans(df, table):
