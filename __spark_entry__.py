@@ -24,7 +24,13 @@ from pyspark.sql import types as T  # noqa: E402
 
 from duckdb_oracle import SLICE_CUTOFF, fingerprint, money, with_ctes  # noqa: E402
 from martflow.operators import ads, dwd, dws, gates, reconcile  # noqa: E402
-from martflow.operators.fingerprint import distinct_days, partition_fingerprint  # noqa: E402
+from martflow.operators.fingerprint import (  # noqa: E402
+    day_lanes,
+    distinct_days,
+    fingerprint_tree,
+    partition_fingerprint,
+    tree_differences,
+)
 from martflow.operators.slicing import day_slice  # noqa: E402
 from martflow.plans.pipeline import OK, build_layers, run_day, run_full  # noqa: E402
 from martflow.schema import (  # noqa: E402
@@ -32,7 +38,9 @@ from martflow.schema import (  # noqa: E402
     DWD_ORDER_TYPES,
     DWS_CATEGORY_TYPES,
     DWS_USER_TYPES,
+    RAW_MONEY,
     conform,
+    count_rejects,
 )
 from martflow.session import scratch_path  # noqa: E402
 from martflow.sinks.warehouse import (  # noqa: E402
@@ -45,12 +53,14 @@ from martflow.sources.events import events_user_day, read_events  # noqa: E402
 from martflow.sources.ods_csv import read_ods_dir, read_text_csv  # noqa: E402
 from martflow.sources.dirty import dirty_ods_from_tpch  # noqa: E402
 from martflow.sources.tpch import ods_from_tpch, order_lines, raw_ods_from_tpch  # noqa: E402
+from martflow.storage import stored_days  # noqa: E402
 from martflow.sources.warehouse import (  # noqa: E402
     read_partitioned,
     read_partitioned_csv,
     read_table,
 )
 
+EMPTY_DAY = "2099-01-01"  # no order has it
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 ORDER_COLS = (
@@ -358,6 +368,26 @@ def q_partition_fingerprint(spark, sf):
     )
 
 
+def q_fingerprint_tree(spark, sf):
+    """The order fact and a copy in which the order with the highest id has another
+    status: where their stored trees differ."""
+    fo = _layers(spark, sf).fact_order
+    top = fo.agg(F.max("order_id").alias("top"))
+    other = fo.crossJoin(F.broadcast(top)).withColumn(
+        "status", F.when(F.col("order_id") == F.col("top"), "lost").otherwise(F.col("status"))).drop("top")
+    trees = [_stored(spark, fingerprint_tree(day_lanes(df)), f"tree{i}") for i, df in enumerate((fo, other))]
+    return tree_differences(*trees)
+
+
+def q_narrowing_rejects(spark, sf):
+    """Orders in another currency unit, a million million times the amount: the values
+    that the order fact cannot hold."""
+    orders = ods_from_tpch(spark, sf).orders
+    huge = (F.col("pay_amount") * F.lit(10**12)).cast(RAW_MONEY)
+    return count_rejects(orders.withColumn("pay_amount", huge).withColumn(
+        "refund_amount", F.col("refund_amount").cast(RAW_MONEY)), DWD_ORDER_TYPES)
+
+
 def q_dim_full_refresh(spark, sf):
     """A stale half of the dimension, then a full overwrite."""
     root = scratch_path(spark, "dim_full_refresh")
@@ -441,6 +471,23 @@ def q_pipeline_day_rerun(spark, sf):
     return _out(result.daily)
 
 
+def q_pipeline_outcomes(spark, sf):
+    """Day runs that are refused and an empty day that is allowed, after a full run:
+    the status of each, the orders stored then and the days known."""
+    ods = ods_from_tpch(spark, sf)
+    wh = scratch_path(spark, "pipeline_outcomes")
+    run_full(spark, ods, wh)
+    seen = []
+    for case, day, allow in (("day_not_iso", "2099/01/01", True), ("empty_day_refused", EMPTY_DAY, False),
+                             ("empty_day_allowed", EMPTY_DAY, True)):
+        result = run_day(spark, ods, wh, day, allow_empty=allow)
+        stored = read_partitioned(spark, f"{wh}/dwd/fact_order")
+        seen.append(stored.agg(
+            F.lit(case).alias("case"), F.lit(result.status).alias("status"), F.count("*").alias("orders"),
+            F.lit(EMPTY_DAY in stored_days(spark, f"{wh}/dwd/fact_order")).alias("empty_day_known")))
+    return _union(seen)
+
+
 # ------------------------------------------------------------------- contract
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dwd_dim_user": q_dwd_dim_user,
@@ -490,6 +537,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_full": q_pipeline_full,
     "pipeline_gate_failure": q_pipeline_gate_failure,
     "pipeline_day_rerun": q_pipeline_day_rerun,
+    "pipeline_outcomes": q_pipeline_outcomes,
+    "fingerprint_tree": q_fingerprint_tree,
+    "narrowing_rejects": q_narrowing_rejects,
 }
 
 
@@ -650,4 +700,21 @@ def oracle_sql() -> dict[str, str]:
         "report_csv_roundtrip": with_ctes(f"SELECT {daily} FROM ads_repurchase_7d"),
         "pipeline_full": with_ctes(f"SELECT 0 AS status, {kpi} FROM ads_kpi_overview"),
         "pipeline_day_rerun": with_ctes(f"SELECT {daily} FROM ads_repurchase_7d"),
+        "pipeline_outcomes": with_ctes(
+            "SELECT c.*, orders FROM (SELECT 'day_not_iso' AS \"case\", 1 AS status, FALSE AS empty_day_known UNION ALL "
+            "SELECT 'empty_day_refused', 2, FALSE UNION ALL SELECT 'empty_day_allowed', 0, TRUE) c, "
+            "(SELECT COUNT(*) AS orders FROM dwd_fact_order)"
+        ),
+        "fingerprint_tree": with_ctes(
+            "SELECT level, node, COUNT(*) AS rows_left, COUNT(*) AS rows_right FROM dwd_fact_order f, "
+            "(SELECT dt AS d FROM dwd_fact_order WHERE order_id = (SELECT MAX(order_id) FROM dwd_fact_order)), "
+            "LATERAL (SELECT unnest(['root', 'month', 'day']) AS level, "
+            "unnest(['all', strftime(d, '%Y-%m'), strftime(d, '%Y-%m-%d')]) AS node) "
+            "WHERE node = 'all' OR starts_with(strftime(f.dt, '%Y-%m-%d'), node) GROUP BY level, node"
+        ),
+        "narrowing_rejects": with_ctes(
+            'SELECT \'pay_amount\' AS "column", \'decimal(18,2)\' AS type, '
+            "COUNT(*) FILTER (WHERE pay_amount >= 10000) AS rejected FROM ods_orders "
+            "UNION ALL SELECT 'refund_amount', 'decimal(18,2)', 0"
+        ),
     }

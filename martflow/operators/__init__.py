@@ -8,7 +8,13 @@ from martflow.operators.ads import (  # noqa: F401
 )
 from martflow.operators.dwd import dim_user, fact_order, fact_order_item  # noqa: F401
 from martflow.operators.dws import category_gmv_1d, user_order_1d  # noqa: F401
-from martflow.operators.fingerprint import distinct_days, partition_fingerprint  # noqa: F401
+from martflow.operators.fingerprint import (  # noqa: F401
+    day_lanes,
+    distinct_days,
+    fingerprint_tree,
+    partition_fingerprint,
+    tree_differences,
+)
 from martflow.operators.gates import (  # noqa: F401
     GATES,
     QualityError,

@@ -12,18 +12,23 @@ def user_order_1d(orders_fact: DataFrame, order_id_unique: bool = True) -> DataF
     known to be unique (the `ods_orders.pk` gate has passed, which the
     pipeline guarantees before building DWD) a plain count is the same number
     and keeps the aggregate a single shuffle with map-side combining; pass
-    ``order_id_unique=False`` for unvalidated input.
+    ``order_id_unique=False`` for unvalidated input.  That form first folds the
+    rows of an order within its user and day (paid if any row is), then counts
+    the folded orders: no row is copied for each distinct count, both levels
+    combine map-side, and a hot user's day is spread over its orders.
     """
     paid = F.col("is_paid") == 1
-    oid = F.col("order_id")
-    if order_id_unique:
-        order_cnt, paid_cnt = F.count(oid), F.count(F.when(paid, oid))
+    paid_gmv = F.sum(F.when(paid, F.col("net_gmv")).otherwise(0))
+    if not order_id_unique:
+        folded = orders_fact.groupBy("user_id", "dt", "order_id").agg(
+            F.max("is_paid").alias("is_paid"), paid_gmv.alias("gmv"))
+        gmv = F.sum("gmv")
     else:
-        order_cnt, paid_cnt = F.count_distinct(oid), F.count_distinct(F.when(paid, oid))
-    return orders_fact.groupBy("user_id", "dt").agg(
-        order_cnt.alias("order_cnt"),
-        paid_cnt.alias("paid_order_cnt"),
-        F.sum(F.when(paid, F.col("net_gmv")).otherwise(0)).alias("gmv"),
+        folded, gmv = orders_fact, paid_gmv
+    return folded.groupBy("user_id", "dt").agg(
+        F.count("order_id").alias("order_cnt"),
+        F.count(F.when(paid, F.col("order_id"))).alias("paid_order_cnt"),
+        gmv.alias("gmv"),
         F.max("is_paid").alias("is_paid_buyer"),
     )
 

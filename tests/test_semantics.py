@@ -298,3 +298,118 @@ def test_stored_report_is_fixed_point_text(spark, good_dir):
     lay = build_layers(read_ods_dir(spark, good_dir))
     row = report_text(reconcile_report(lay.fact_order, lay.user_order_1d, lay.kpi_overview, lay.repurchase_7d)).first()
     assert (row["left_gmv"], row["abs_diff"], row["tolerance"]) == ("222.00", "0.0000", "0.0100")
+
+
+def test_a_run_stopped_midway_changes_no_table(spark, good_dir, window_dir, tmp_path, monkeypatch):
+    from martflow.plans import pipeline
+    from martflow.storage import Run
+
+    wh = str(tmp_path / "wh")
+    old, new = read_ods_dir(spark, good_dir), read_ods_dir(spark, window_dir)
+    assert run_full(spark, old, wh).status == OK
+    tables = ("dwd/fact_order", "dwd/fact_order_item", "dws/user_order_1d", "dws/category_gmv_1d", "ads/repurchase_7d")
+
+    def state():
+        return [sorted(map(str, read_partitioned(spark, f"{wh}/{t}").collect())) for t in tables]
+
+    before = state()
+    real, done = Run.save_days, []
+
+    def stopping(self, df, name, sums=None):
+        done.append(name)
+        if name == pipeline.USER_DAY:  # both facts of the new run are written
+            raise KeyboardInterrupt
+        return real(self, df, name, sums)
+
+    with monkeypatch.context() as m:
+        m.setattr(Run, "save_days", stopping)
+        with pytest.raises(KeyboardInterrupt):
+            run_full(spark, new, wh)
+    assert done == [pipeline.FACT_ORDER, pipeline.FACT_ITEM, pipeline.USER_DAY]
+    assert state() == before
+    assert run_full(spark, new, wh).status == OK
+    assert state() != before
+
+
+def test_an_amount_that_does_not_fit_fails_the_run_by_name(spark, tmp_path):
+    users, orders, items = (read_rows("good", t) for t in ("users", "orders", "order_items"))
+    order = next(o for o in orders if o["status"] == "paid" or o["status"] == "completed")
+    lines = [i for i in items if i["order_id"] == order["order_id"]]
+    for i in lines[1:]:
+        items.remove(i)
+    order.update(pay_amount="2e13", refund_amount="0")
+    lines[0].update(qty="1", unit_price="2e13", amount="2e13", refund_qty="0", refund_amount="0")
+    ods = ods_from_rows(spark, users, orders, items)
+    assert gate_report(*ods).filter("bad_rows > 0").count() == 0
+    result = run_full(spark, ods, str(tmp_path / "price"))
+    assert result.status == FAILED and result.message == "fact_order_item.unit_price: 1 values do not fit decimal(18,6)"
+    wide = ods._replace(
+        orders=ods.orders.withColumn("pay_amount", F.when(F.col("order_id") == order["order_id"], F.lit("2e16").cast(
+            "decimal(24,6)")).otherwise(F.col("pay_amount"))),
+        items=ods.items.withColumn("amount", F.when(F.col("order_id") == order["order_id"], F.lit("2e16").cast(
+            "decimal(24,6)")).otherwise(F.col("amount"))).withColumn("unit_price", F.col("unit_price").cast("decimal(38,10)"))
+        .withColumn("unit_price", F.when(F.col("order_id") == order["order_id"], F.lit("2e16").cast("decimal(38,10)"))
+                    .otherwise(F.col("unit_price"))))
+    result = run_full(spark, wide, str(tmp_path / "wh"))
+    assert result.status == FAILED and result.message == "fact_order.pay_amount: 1 values do not fit decimal(18,2)"
+    assert not (tmp_path / "wh").exists()
+
+
+def test_rejected_values_are_named(spark):
+    from martflow.schema import DWD_ITEM_TYPES, count_rejects, rejects
+
+    df = spark.createDataFrame([("a", "1", "9" * 17, 3), ("b", "x", "1.5", 4), ("c", None, None, 5)],
+                               "id string, qty string, amount string, net_qty int")
+    assert {r["column"]: r["rejected"] for r in count_rejects(df, DWD_ITEM_TYPES).collect()} == {"qty": 1, "amount": 1}
+    assert sorted(map(tuple, rejects(df, DWD_ITEM_TYPES, "id").collect())) == [("a", "amount", "9" * 17), ("b", "qty", "x")]
+    assert count_rejects(df.select("net_qty"), DWD_ITEM_TYPES).count() == 0
+
+
+def test_kpi_and_report_after_day_runs_equal_a_full_run(spark, window_dir, tmp_path):
+    ods = read_ods_dir(spark, window_dir)
+    wh, ref = str(tmp_path / "wh"), str(tmp_path / "ref")
+    full = run_full(spark, ods, wh)
+    assert full.status == OK and full.ods_rows == {"users": ods.users.count(), "orders": ods.orders.count(),
+                                                   "items": ods.items.count()}
+    gone = ods._replace(orders=ods.orders.filter("order_id NOT IN ('W5', 'W6', 'W3')"),
+                        items=ods.items.filter("order_id NOT IN ('W5', 'W6', 'W3')"))
+    days = sorted({str(r["dt"]) for r in ods.orders.filter("order_id IN ('W5', 'W6', 'W3')").select("dt").collect()})
+    for source in (gone, ods):  # paid users are lost, then won again
+        for day in days:
+            part = run_day(spark, source, wh, day, allow_empty=True)
+            assert part.status == OK, part.message
+        whole = run_full(spark, source, ref)
+        assert [tuple(r) for r in part.kpi.collect()] == [tuple(r) for r in whole.kpi.collect()]
+        assert [tuple(r) for r in part.reconcile.collect()] == [tuple(r) for r in whole.reconcile.collect()]
+        assert sorted(map(tuple, part.daily.collect())) == sorted(map(tuple, whole.daily.collect()))
+    kpi_file = tmp_path / "wh" / "ads" / "ads_kpi_overview.csv"
+    assert kpi_file.read_text().splitlines()[1].split(",")[0] == str(whole.kpi.first()["paid_orders"])
+
+
+def test_distinct_order_counts_in_two_levels(spark):
+    from martflow.operators import dws
+
+    rows = [("o1", "u", 1, 5), ("o1", "u", 0, 7), ("o1", "u", 1, 2), ("o2", "u", 0, 9), (None, "u", 1, 3), ("o3", None, 0, 1)]
+    df = spark.createDataFrame(rows, "order_id string, user_id string, is_paid int, net_gmv int")
+    df = df.withColumn("net_gmv", F.col("net_gmv").cast("decimal(18,2)")).withColumn("dt", F.lit("2025-01-01").cast("date"))
+    out = dws.user_order_1d(df, order_id_unique=False)
+    got = {r["user_id"]: (r["order_cnt"], r["paid_order_cnt"], int(r["gmv"]), r["is_paid_buyer"]) for r in out.collect()}
+    assert got == {"u": (2, 1, 10, 1), None: (1, 0, 0, 0)}
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fingerprint_trees_tell_apart_one_changed_row(spark):
+    from martflow.operators import day_lanes, fingerprint_tree, tree_differences
+
+    df = spark.range(500).select("id", F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("a"),
+                                 F.lit(None).cast("string").alias("b"),
+                                 F.expr("if(id = 3, null, date_add(DATE'2026-01-01', cast(id % 90 as int)))").alias("dt"))
+    moved = df.withColumns({"a": F.when(F.col("id") == 200, F.col("b")).otherwise(F.col("a")),
+                            "b": F.when(F.col("id") == 200, F.col("a")).otherwise(F.col("b"))})
+    tree = fingerprint_tree(day_lanes(df))
+    assert tree_differences(tree, fingerprint_tree(day_lanes(df.repartition(7).select("b", "dt", "a", "id")))).count() == 0
+    got = sorted(map(tuple, tree_differences(tree, fingerprint_tree(day_lanes(moved))).collect()))
+    assert [r[:2] for r in got] == [("day", "2026-01-21"), ("month", "2026-01"), ("root", "all")]
+    fewer = fingerprint_tree(day_lanes(df.filter("id <> 3")))  # the only row without a day
+    assert {tuple(r) for r in tree_differences(tree, fewer).collect()} == {
+        ("day", "-", 1, None), ("month", "-", 1, None), ("root", "all", 500, 499)}
