@@ -23,7 +23,8 @@ gates and feeds the failing-gate reports.
 Plan shape: order totals read bare line rows, so order-only queries never touch
 ``part``.  The per-order window gives a line its ordinal and its order's sums in
 one shuffle by ``l_orderkey``, which the join to the order headers reuses; the
-join to ``part`` comes last.
+join to ``part`` comes last.  Where an order has more lines than a window should
+hold, lines are numbered by ranges instead (``operators.numbering``).
 """
 from __future__ import annotations
 
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.functions.columns import MONEY, PRICE
+from martflow.operators.numbering import GIANT, largest_group, numbered
 from martflow.sources.ods_csv import Ods
 
 # Fixed values of the mapping.
@@ -65,10 +67,16 @@ def _returned() -> Column:
     return F.col("l_returnflag") == RETURNED_FLAG
 
 
+def _amounts() -> tuple[Column, Column]:
+    """A line's amount, and that amount if it is returned."""
+    amount = F.col("l_extendedprice").cast(MONEY)
+    return amount, F.when(_returned(), amount).otherwise(0)
+
+
 def _sums() -> tuple[Column, Column]:
     """The sum of an order's lines and of its returned ones."""
-    amount = F.col("l_extendedprice").cast(MONEY)
-    return F.sum(amount), F.sum(F.when(_returned(), amount).otherwise(0))
+    amount, returned = _amounts()
+    return F.sum(amount), F.sum(returned)
 
 
 def _status() -> Column:
@@ -89,18 +97,27 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean lines with what they inherit from their order: the item columns of
-    the ODS and ``user_id``, ``status``, ``dt`` (NULL without an order)."""
+def _numbered_lines(spark: SparkSession, sf_dir: str, giant: int) -> DataFrame:
+    """Lines with their number within the order and the order's sums."""
+    read = _table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_orderkey")
+    if largest_group(read, "l_orderkey") > giant:
+        amount, returned = _amounts()
+        return numbered(read, "l_orderkey", LINE_ORDER, {"item_sum": amount, "ret_sum": returned}, into="line_no")
     order = Window.partitionBy("l_orderkey")
     item_sum, ret_sum = _sums()
-    lines = _table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_orderkey").select(
+    return read.select("*", F.row_number().over(order.orderBy(*LINE_ORDER)).alias("line_no"),
+                       item_sum.over(order).alias("item_sum"), ret_sum.over(order).alias("ret_sum"))
+
+
+def order_lines(spark: SparkSession, sf_dir: str, giant: int = GIANT) -> DataFrame:
+    """Clean lines with what they inherit from their order: the item columns of
+    the ODS and ``user_id``, ``status``, ``dt`` (NULL without an order).  Beyond
+    ``giant`` lines of one order no order is a single task."""
+    lines = _numbered_lines(spark, sf_dir, giant).select(
         "l_orderkey", "l_partkey", "l_returnflag",
         F.col("l_quantity").cast("int").alias("qty"),
         F.col("l_extendedprice").cast(MONEY).alias("amount"),
-        F.row_number().over(order.orderBy(*LINE_ORDER)).alias("line_no"),
-        item_sum.over(order).alias("item_sum"),
-        ret_sum.over(order).alias("ret_sum"),
+        "line_no", "item_sum", "ret_sum",
     )
     orders = _orders(spark, sf_dir)
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")

@@ -128,6 +128,33 @@ def test_an_order_of_many_lines_keeps_its_ids_apart(spark, tmp_path):
     assert G.unique(items, ["order_item_id"], "x").first()["bad_rows"] == 0
 
 
+def test_lines_of_a_giant_order_are_numbered_by_ranges(spark, tmp_path):
+    from martflow.operators.numbering import numbered
+    from pyspark.sql import Window
+
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") < 50_000, 7).when(F.col("id") % 5 > 0, F.col("id") % 300).alias("k"),
+        (F.xxhash64("id") % 400_000).alias("a"), F.col("id").alias("b"), (F.col("id") % 11).cast("decimal(18,2)").alias("v"))
+    got = numbered(rows, "k", ["a", "b"], {"total": F.col("v"), "odd": F.when(F.col("v") % 2 == 1, F.col("v")).otherwise(0)}, parts=12)
+    by = Window.partitionBy("k")
+    want = rows.select("*", F.row_number().over(by.orderBy("a", "b")).cast("long").alias("ordinal"), F.sum("v").over(by).alias("total"),
+                       F.sum(F.when(F.col("v") % 2 == 1, F.col("v")).otherwise(0)).over(by).alias("odd"))
+    both = [df.select("k", "a", "b", "v", "ordinal", "total", "odd") for df in (got, want)]
+    assert both[0].exceptAll(both[1]).count() == 0 and both[1].exceptAll(both[0]).count() == 0
+    scan = got._jdf.inputFiles()
+    pieces = [spark.read.parquet(f).filter("k = 7").count() for f in scan]
+    assert sum(pieces) == rows.filter("k = 7").count() and max(pieces) < 15_000  # no task holds the order
+
+
+def test_both_ways_of_numbering_give_the_same_lines(spark):
+    need_testdata()
+    from martflow.sources import order_lines
+
+    a, b = order_lines(spark, SF0001), order_lines(spark, SF0001, giant=0)
+    b = b.select(*a.columns)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
 def test_csv_day_folders_empty_is_an_error(spark, tmp_path):
     (tmp_path / "dt=2026-07-01").mkdir()
     with pytest.raises(Exception):
