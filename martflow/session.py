@@ -2,9 +2,11 @@
 scratch location for intermediate tables."""
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +48,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once a session, so that it need be on the
+    driver's path only: zipped into the shared folder and added to the session's
+    Python files."""
+    sc = spark.sparkContext
+    if getattr(sc, "_martflow_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("martflow", os.path.relpath(full, here)))
+    target = f"{scratch_path(spark, 'package')}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        stream.write(bytearray(data.getvalue()))
+    finally:
+        stream.close()
+    sc.addPyFile(target)
+    sc._martflow_shipped = True
