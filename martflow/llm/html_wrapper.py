@@ -22,6 +22,8 @@ import html
 import itertools
 import json
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-# Second-round groups of a host; items of one level before it is held as a bag; levels, deeper blocks are one text each.
-SALTS, WIDEST, DEEPEST = 32, 48, 80
+# Second-round groups of a host; items of one level of a wrapper beyond which their order is given up (none is lost);
+# cells of an alignment table, larger ones are halved first.
+SALTS, WIDEST, TABLE = 32, 4096, 1 << 16
 SHARED = 4  # different pages that share a text of the template
 
 # HTML's kinds of elements, and names that sites give to what is not the article.
@@ -47,6 +50,11 @@ JUNK_NAMES = frozenset("ad ads advert adverts advertisement advertising banner b
                        "newsletter notice notification overlay pagination popup promo recommended related reply replies "
                        "respond search share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar "
                        "topbar warning widget".split())
+#: Of these, names that an article's own blocks have too, in longer names (share-price): inside an article a block of
+#: such a name is junk only if it is mostly links.  Names that only add one of the plain words are no longer names.
+SOFT_NAMES = frozenset("share sharing search social tags skip warning recommended related".split())
+PLAIN_WORDS = frozenset("area bar block box button buttons container group icon icons inner link links list post posts row "
+                        "section top bottom left right wrap wrapper".split())
 HOLDER_NAMES = frozenset("article content main post story entry body text".split())
 CLOSED_BY = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
              "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -62,15 +70,23 @@ WORD = re.compile(r"[a-z]+")
 class Block:
     """A block element of a page; ``kids`` holds blocks and ``Text``."""
 
-    __slots__ = ("label", "tag", "junk", "holder", "kids")
+    __slots__ = ("label", "tag", "junk", "soft", "holder", "within", "kids")
 
-    def __init__(self, tag: str, attributes: str):
+    def __init__(self, tag: str, attributes: str, within: bool = False):
+        """``within``: inside an element made for an article."""
         given = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
         named = [given[k].lower() for k in ("class", "id", "role") if given.get(k)]
         words = {w for name in named for w in WORD.findall(name)}
         self.tag, self.kids = tag, []
         self.holder = tag in HOLDERS or given.get("role") == "main"
-        self.junk = not self.holder and (tag in JUNK_TAGS or bool(words & JUNK_NAMES) and tag not in ("body", "html"))
+        self.within = within or self.holder
+        bad = words & JUNK_NAMES if tag not in ("body", "html") else set()
+        self.soft = within and bool(bad) and bad <= SOFT_NAMES and all(
+            one - JUNK_NAMES - PLAIN_WORDS for one in (set(WORD.findall(n)) for name in named for n in name.split())
+            if one & JUNK_NAMES)
+        # a header inside an article is its headline
+        by_tag = tag in JUNK_TAGS and not (within and tag == "header")
+        self.junk = not self.holder and (by_tag or bool(bad) and not self.soft)
         first = (given.get("class") or "").split()
         self.label = tag + ("." + re.sub(r"\d+", "0", first[0].lower()) if first else "")
         if words & HOLDER_NAMES and not self.junk and not words & JUNK_NAMES and tag not in ("body", "html", "p"):
@@ -94,7 +110,16 @@ def blocks_of(page: str) -> Block:
     """The page as a tree of blocks; unclosed and misnested elements are closed
     by the next element that cannot be inside them."""
     root = Block("#root", "")
-    stack, deeper, run, linked, links = [root], [], [], 0, 0
+    stack, opened, run, linked, links = [root], Counter(), [], 0, 0
+
+    def close() -> str:
+        """The last open block ends; a softly named one that is mostly links is junk."""
+        block = stack.pop()
+        opened[block.tag] -= 1
+        if block.soft:
+            said = list(texts_below(block))
+            block.junk = 2 * sum(t.linked for t in said) > sum(len(t.text) for t in said)
+        return block.tag
 
     def flush() -> None:
         nonlocal linked
@@ -130,38 +155,45 @@ def blocks_of(page: str) -> Block:
             if tag in ("br", "hr"):
                 say(" ")
         elif m[1]:
-            if deeper and tag in deeper:
-                flush()
-                while deeper.pop() != tag:
-                    pass
-            elif any(b.tag == tag for b in stack[1:]):
+            if opened[tag]:
                 flush()
-                deeper.clear()
                 links = 0
-                while stack.pop().tag != tag:
+                while close() != tag:
                     pass
         else:
             flush()
             links = 0
-            if len(stack) > DEEPEST:
-                deeper.append(tag)
-                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in CLOSED_BY.get(tag, ()):
-                    del stack[i:]
+                    while len(stack) > i:
+                        close()
                     break
                 if stack[i].tag in SCOPES:
                     break
             if stack[-1].tag == "p" and tag not in ("p",):
-                stack.pop()
-            block = Block(tag, m[3])
+                close()
+            block = Block(tag, m[3], stack[-1].within)
             stack[-1].kids.append(block)
             stack.append(block)
+            opened[tag] += 1
     say(page[at:])
     flush()
+    while len(stack) > 1:
+        close()
     return root
 
 
+def texts_below(node) -> Iterator[Text]:
+    """All texts of a page's node in order, known junk left out."""
+    stack = [node]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, Text):
+            yield x
+        elif not x.junk:
+            stack.extend(reversed(x.kids))
+
+
 # --------------------------------------------------------------- wrappers
 # An item of a wrapper: {"l": label, "n": pages, "opt": bool, "rep": bool, "kids": items} for a block or, with the
 # label "(...)", a repeated group; {"l": "#", "n", "opt", "rep", "fixed": hash of the text or None, "chars", "linked",
@@ -196,23 +228,44 @@ def fold(kids: list) -> list[tuple[str, list[list]]]:
 
 def own_chars(node) -> int:
     """Characters of a page's node outside links and known junk."""
-    if isinstance(node, Text):
-        return 0 if 2 * node.linked > len(node.text) else len(node.text) - node.linked
-    return 0 if node.junk else sum(map(own_chars, node.kids))
+    return sum(len(t.text) - t.linked for t in texts_below(node) if 2 * t.linked <= len(t.text))
 
 
 def own_texts(node) -> Iterator[str]:
     """A page's texts outside links and known junk."""
-    if isinstance(node, Text):
-        if 2 * node.linked <= len(node.text):
-            yield node.text
-    elif not node.junk:
-        for kid in node.kids:
-            yield from own_texts(kid)
+    return (t.text for t in texts_below(node) if 2 * t.linked <= len(t.text))
+
+
+def any_depth() -> None:
+    """Blocks may be nested to any depth; the functions that follow them call
+    themselves, which takes heap and not stack."""
+    sys.setrecursionlimit(1 << 30)
+
+
+def dump(items: list[dict]) -> str:
+    """A wrapper as JSON without nesting: items in order, each with its depth."""
+    out, stack = [], [(0, x) for x in reversed(items)]
+    while stack:
+        depth, x = stack.pop()
+        out.append([depth, "kids" in x, {k: v for k, v in x.items() if k != "kids"}])
+        stack.extend((depth + 1, k) for k in reversed(x.get("kids", ())))
+    return json.dumps(out)
+
+
+def load(text: str) -> list[dict]:
+    levels: list[list[dict]] = [[]]
+    for depth, has_kids, x in json.loads(text):
+        del levels[depth + 1 :]
+        levels[depth].append(x)
+        levels.append([])
+        if has_kids:
+            x["kids"] = levels[-1]
+    return levels[0]
 
 
 def page_items(page: str) -> list[dict]:
     """A page as a wrapper: one item for its root."""
+    any_depth()
     root = blocks_of(page)
     return items_of([root], own_chars(root), hash_of("\n".join(own_texts(root)))[:16])
 
@@ -245,8 +298,30 @@ def items_of(kids: list, own: int = 0, page: str = "") -> list[dict]:
     return out
 
 
+def lengths(a: list[str], b: list[str]) -> list[int]:
+    """Lengths of the longest common subsequences of ``a`` and every prefix of ``b``,
+    all cells of a row at once in the bits of one number."""
+    masks: dict[str, int] = {}
+    for j, label in enumerate(b):
+        masks[label] = masks.get(label, 0) | 1 << j
+    whole = (1 << len(b)) - 1
+    row = whole
+    for label in a:
+        met = row & masks.get(label, 0)
+        row = ((row + met) | (row - met)) & whole
+    return [0, *itertools.accumulate(c == "0" for c in f"{row:0{len(b)}b}"[::-1])] if b else [0]
+
+
 def pairs_of(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]:
-    """A longest common subsequence of two levels, with what is on one side only."""
+    """A longest common subsequence of two levels, with what is on one side only.
+    Wide levels are halved where the halves' common subsequences are longest, so
+    the memory is that of a small table."""
+    if min(len(a), len(b)) > 1 and len(a) * len(b) > TABLE:
+        half = len(a) // 2
+        left, right = lengths(a[:half], b), lengths(a[half:][::-1], b[::-1])
+        cut = max(range(len(b) + 1), key=lambda j: left[j] + right[len(b) - j])
+        return pairs_of(a[:half], b[:cut]) + [
+            (None if i is None else i + half, None if j is None else j + cut) for i, j in pairs_of(a[half:], b[cut:])]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -297,9 +372,14 @@ def aligned(a: list[dict], b: list[dict]) -> list[dict]:
 
 def mass(item: dict) -> int:
     """Characters outside links and known junk, fixed texts left out."""
-    if item["l"] == "#":
-        return 0 if fixed(item) or 2 * item["linked"] > item["chars"] else item["chars"] - item["linked"]
-    return 0 if item.get("junk") else sum(map(mass, item["kids"]))
+    total, stack = 0, [item]
+    while stack:
+        x = stack.pop()
+        if x["l"] == "#":
+            total += 0 if fixed(x) or 2 * x["linked"] > x["chars"] else x["chars"] - x["linked"]
+        elif not x.get("junk"):
+            stack.extend(x["kids"])
+    return total
 
 
 def fixed(item: dict) -> bool:
@@ -312,6 +392,7 @@ def mark(root: list[dict]) -> list[dict]:
     """The wrapper with ``main`` on every block made for an article that holds at
     least half of the own text of the pages that have it, and ``fixed`` only on
     texts of the template."""
+    any_depth()
     pages = root[0]["n"]
     shared: list[tuple[int, float]] = []
 
@@ -327,6 +408,7 @@ def mark(root: list[dict]) -> list[dict]:
         for x in items:
             if x["l"] == "#":
                 x["fixed"] = x["fixed"] if fixed(x) else None
+                x["notice"] = x["fixed"] is not None and 2 * x["n"] > pages
                 x["linked"] = 2 * x["linked"] > x["chars"]
                 x.pop("chars"), x.pop("seen")
             else:
@@ -349,7 +431,8 @@ def extract(page: str, wrapper: list[dict]) -> str:
     lowest block that holds all of the page's own text, without its template and link
     texts (linked headings stay), or in all texts if that leaves none.  Known junk is
     left out."""
-    texts: list[tuple[str, bool, bool]] = []  # with: of the template, linked
+    any_depth()
+    texts: list[tuple[str, bool, bool, bool]] = []  # with: of the template, linked, a notice
     spans: list[tuple[int, int]] = []  # of the texts of every block, outer blocks behind inner ones
     named: list[tuple[int, int, Block, bool]] = []
 
@@ -373,7 +456,8 @@ def extract(page: str, wrapper: list[dict]) -> str:
                 elif label == "#":
                     known = bool(item and item["fixed"]) and item["fixed"] == hash_of(node.text)
                     linked = item["linked"] if item else 2 * node.linked > len(node.text)
-                    texts.append((node.text, known, linked and tag not in HEADINGS))
+                    texts.append((node.text, known, linked and tag not in HEADINGS,
+                                  known and bool(item.get("notice")) and tag not in HEADINGS))
                     weights.append(0 if known or linked else len(node.text) - node.linked)
                 elif not node.junk:
                     first = len(texts)
@@ -396,7 +480,8 @@ def extract(page: str, wrapper: list[dict]) -> str:
         # inner blocks come first
         strong.append(x if x[2].holder or not weight(x) else next(y for y in apart if x[0] <= y[0] and y[1] <= x[1] and weight(y) == weight(x)))
     if chosen := strong:
-        keep = {i for x in chosen for i in range(x[0], x[1])}
+        # notices that all pages share are no part of the article; its headings are
+        keep = {i for x in chosen for i in range(x[0], x[1]) if not texts[i][3]}
     else:
         first, end = next((x for x in spans if weight(x) == total > 0), (0, len(texts)))
         keep = {i for i in range(first, end) if not texts[i][1] and not texts[i][2]}
@@ -421,22 +506,23 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
                 items = page_items(page.as_py())
                 held[host] = aligned(held[host], items) if host in held else items
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.string()), pa.array([json.dumps(w) for w in held.values()], pa.string())],
+                [pa.array(list(held), pa.string()), pa.array([dump(w) for w in held.values()], pa.string())],
                 ["host", "wrapper"])
 
     def merge(frame):
         import pandas as pd
 
+        any_depth()
         whole = None
         for one in sorted(frame["wrapper"]):
-            whole = json.loads(one) if whole is None else aligned(whole, json.loads(one))
-        return pd.DataFrame({"host": frame["host"].iloc[:1], "wrapper": [json.dumps(whole)]})
+            whole = load(one) if whole is None else aligned(whole, load(one))
+        return pd.DataFrame({"host": frame["host"].iloc[:1], "wrapper": [dump(whole)]})
 
     schema = "host string, wrapper string"
     parts = rows.mapInArrow(own, schema).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
     once = parts.groupBy("host", "salt").applyInPandas(merge, schema)
     return once.groupBy("host").applyInPandas(lambda f: merge(f).assign(
-        wrapper=lambda g: [json.dumps(mark(json.loads(w))) for w in g["wrapper"]]), schema)
+        wrapper=lambda g: [dump(mark(load(w))) for w in g["wrapper"]]), schema)
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -444,6 +530,11 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     by one space, white space inside a block made one space, character references
     decoded; ``n_chars`` in code points.
 
+    Texts of any length and blocks of any depth and number are read whole.  Where more
+    than half of a host's pages hold the same text at the same place of the article,
+    and at least ``SHARED`` different ones do, it is a notice of the template and goes;
+    headings stay.
+
     Null html is an empty page and gives the empty text; null urls and urls
     without a host are one host; repeated rows each get a row; ids may be null.
     Other columns are ignored.  An empty table gives an empty result.
@@ -461,7 +552,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 if wrapper not in read:
                     if len(read) > 1000:
                         read.clear()
-                    read[wrapper] = json.loads(wrapper)
+                    read[wrapper] = load(wrapper)
                 texts.append(extract(page.as_py(), read[wrapper]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()),

@@ -154,3 +154,51 @@ def test_odd_pages(spark):
     assert by[1] == by[2] == by[7] == by[8] == "" and by[5] == ("deep " * 100_000).strip() and by[6] == "x"
     assert by[3] == "plain <text> only" and by[4] == "a b"
     assert W.main_texts(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_blocks_of_any_depth_and_levels_of_any_width():
+    deep = "<div>" * 85 + "<article><nav>MENU</nav><p>Body</p><footer>FOOT</footer></article>" + "</div>" * 85
+    assert W.extract(deep, W.mark(W.page_items(deep))) == "Body"
+    deeper = "<div>" * 5000 + "<nav>MENU</nav><p>Body text of the page.</p>" + "</div>" * 5000
+    wrapper = W.mark(W.aligned(W.page_items(deeper), W.page_items(deeper)))
+    assert W.dump(W.load(W.dump(wrapper))) == W.dump(wrapper)
+    assert W.extract(deeper, wrapper) == "Body text of the page."
+    wide = "<article>" + "".join(f"<p>{i}</p><div class=c{chr(97 + i * i % 7)}>x{i}</div>" for i in range(4000)) + "</article>"
+    other = wide.replace("<p>7</p>", "<h2>7</h2>")
+    wrapper = W.mark(W.aligned(W.page_items(wide), W.page_items(other)))
+    for page in (wide, other):
+        assert W.extract(page, wrapper) == " ".join(f"{i} x{i}" for i in range(4000))
+
+
+def test_wide_levels_are_aligned_like_small_ones(monkeypatch):
+    import random
+
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ([rng.choice("pqrs") for _ in range(rng.randrange(30))] for _ in range(2))
+        monkeypatch.setattr(W, "TABLE", 1 << 16)
+        table = W.pairs_of(a, b)
+        monkeypatch.setattr(W, "TABLE", 6)
+        halved = W.pairs_of(a, b)
+        assert [i for i, _ in halved if i is not None] == list(range(len(a)))
+        assert [j for _, j in halved if j is not None] == list(range(len(b)))
+        both = [(i, j) for i, j in halved if i is not None and j is not None]
+        assert all(a[i] == b[j] for i, j in both) and len(both) == sum(i is not None and j is not None for i, j in table)
+
+
+def test_the_wrapper_decides_inside_an_article():
+    def page(i):
+        return (f"<html><body><article class=post><header><h1>Title {i}</h1></header><p>First words of story {i}.</p>"
+                f"<div class=share-price>Shares rose {i} percent on the day.</div><p>More about {i} here.</p>"
+                f"<div class=share><a href=/x>Tweet</a> <a href=/y>Mail</a></div>"
+                "<p>Written by Sam. All rights reserved.</p></article></body></html>")
+
+    pages = [page(i) for i in range(8)]
+    wrapper = W.page_items(pages[0])
+    for p in pages[1:]:
+        wrapper = W.aligned(wrapper, W.page_items(p))
+    wrapper = W.mark(wrapper)
+    for i, p in enumerate(pages):
+        body = f"Title {i} First words of story {i}. Shares rose {i} percent on the day. More about {i} here."
+        assert W.extract(p, wrapper) == body
+        assert W.extract(p, None) == body + " Written by Sam. All rights reserved."
