@@ -4,12 +4,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.session import scratch_path
+from martflow.session import scratch_path, ship_package
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh shared folder and read it back: lineage ends here,
     and a lost executor costs only the tasks that follow."""
+    ship_package(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -26,6 +27,7 @@ def quoted(name: str) -> Column:
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,7 +6,10 @@ and due at ``ceil((k + 1) * period / u)``; taking the released block with the
 earliest deadline at every slot keeps each source less than one block away from
 its share at all times.  All lags are zero again after ``period`` slots, so one
 period is scheduled, from the weights alone, and the place of every block
-follows by arithmetic in a join with that small table.  When a source has no
+follows by arithmetic in a join with that small table.  Weights with a common
+denominator up to ``EXACT_PERIOD`` (1/3 and 2/3, or whole percents) are scheduled
+exactly; other weights are rounded to whole units of ``period``, and the promise
+of less than a block holds for the rounded ones.  When a source has no
 block left, a new phase begins with the weights of the others.
 
 Documents are numbered within their source by pieces of bounded size and the
@@ -16,7 +19,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import math
 from collections.abc import Mapping
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 PERIOD, BLOCK_ROWS, PIECE_ROWS, TEMPERATURE = 1024, 16, 4096, 0.7
+EXACT_PERIOD = 1 << 14  # weights that are whole in a period up to this one are kept exactly
 
 
 def units_of(weights: Mapping, period: int) -> dict:
@@ -45,6 +51,22 @@ def units_of(weights: Mapping, period: int) -> dict:
     return units
 
 
+def exact_period(weights: Mapping, most: int = EXACT_PERIOD) -> int | None:
+    """The least period in which every weight is a whole number of blocks, if there is
+    one up to ``most``: a share is taken as the fraction of a denominator up to
+    ``most`` that a float can mean by it."""
+    shares = {s: Fraction(w).limit_denominator(most) for s, w in weights.items()}
+    if any(not f or abs(float(f) - w) > 1e-12 * w for f, w in zip(shares.values(), weights.values())):
+        return None
+    total = sum(shares.values())
+    period = 1
+    for f in shares.values():
+        period = math.lcm(period, (f / total).denominator)
+        if period > most:
+            return None
+    return period
+
+
 def one_period(units: Mapping, period: int) -> dict:
     """Slots of every source's blocks within one period: earliest deadline first
     among the released blocks, ties by source."""
@@ -67,14 +89,18 @@ def one_period(units: Mapping, period: int) -> dict:
     return slots
 
 
-def phases(blocks: Mapping, weights: Mapping, period: int) -> list[dict]:
+def phases(blocks: Mapping, weights: Mapping, period: int | None) -> list[dict]:
     """Phases of the mix: the first slot, how many slots, and by source the
-    first block, how many blocks and its slots in a period."""
+    first block, how many blocks and its slots in a period.  Without a ``period``
+    the exact one is taken where there is one, else ``PERIOD``."""
     left = {s: n for s, n in blocks.items() if n}
     done = dict.fromkeys(left, 0)
     out, start = [], 0
     while left:
-        size = max(period, 1 << (4 * len(left) - 1).bit_length()) if 4 * len(left) > period else period
+        size = period or exact_period({s: weights[s] for s in left})
+        if size is None or period:
+            size = size or PERIOD
+            size = max(size, 1 << (4 * len(left) - 1).bit_length()) if 4 * len(left) > size else size
         units = units_of({s: weights[s] for s in left}, size)
         slots = one_period(units, size)
         last = {s: (n - 1) // units[s] * size + slots[s][(n - 1) % units[s]] for s, n in left.items()}
@@ -113,7 +139,7 @@ def _numbered(docs: DataFrame, id_col: str, source_col: str, piece_rows: int) ->
 
 
 def mix_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None, id_col: str = "doc_id",
-              source_col: str = "source", block_rows: int = BLOCK_ROWS, period: int = PERIOD,
+              source_col: str = "source", block_rows: int = BLOCK_ROWS, period: int | None = None,
               temperature: float = TEMPERATURE, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """``(id_col, source_col, block, phase, release, deadline, slot, place)`` for
     every row; ``place`` numbers the mixed stream (0, 1, ... with gaps where a

@@ -100,3 +100,17 @@ def test_odd_rows(spark):
     assert len({r.place for r in got}) == 7
     assert sorted(map(key, ((r.doc_id, r.source) for r in M.mixed(df).collect()))) == sorted(map(key, rows))
     assert M.mix_order(df.limit(0)).count() == 0 and M.mixed(df.limit(0)).count() == 0
+
+
+def test_weights_of_a_common_denominator_are_kept_exactly():
+    cases = [{"a": 1 / 3, "b": 2 / 3}, {"a": 0.1, "b": 0.2, "c": 0.7}, {"a": 5, "b": 1, "c": 1}, {"a": 0.0001, "b": 0.9999}]
+    for weights in cases:
+        period, total = M.exact_period(weights), sum(weights.values())
+        units = M.units_of(weights, period)
+        assert all(abs(units[s] / period - w / total) < 1e-15 for s, w in weights.items())
+        slots = M.one_period(units, period)
+        for s, w in weights.items():  # a million blocks are whole periods and a rest
+            full, rest = divmod(10**6, period)
+            taken = full * units[s] + sum(x < rest for x in slots[s])
+            assert abs(taken - 10**6 * w / total) < 1
+    assert M.exact_period({"a": 2 ** 0.5, "b": 1}) is None and M.exact_period({"a": 1e-9, "b": 1}) is None
