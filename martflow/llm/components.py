@@ -9,13 +9,13 @@ from .common import materialize
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    low = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
     return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v")
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     joined = down.join(low, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
         low.select("u", F.col("m").alias("v")))
@@ -33,8 +33,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Each round rewires every node to the least neighbour it knows of (first
     upwards, then downwards), which halves distances, so rounds grow with the
-    logarithm of the longest chain.  A hub's neighbours stay rows of a join
-    whose large side can be split; nothing is gathered by group.  Every round
+    logarithm of the longest chain.  Least neighbours are found map-side first
+    and written, so that the edges meet them in a join of two plain shuffles: a
+    hub's edges are a side that adaptive execution cuts into pieces.  Every round
     is written to the shared folder.  Self loops and repeated edges are
     harmless; an empty table gives an empty result.
     """
