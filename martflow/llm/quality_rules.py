@@ -93,14 +93,15 @@ def tree_rules(described: str) -> set[tuple[Condition, ...]]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, id_col: str, text_col: str,
                     fit_rows: int) -> DataFrame:
-    """``(text, label)`` of at most about ``fit_rows`` training rows, drawn by a
-    hash of the id.  The drawn ids are the broadcast side, so their number
-    bounds it and no text is shuffled."""
+    """``(text, label)`` of about ``fit_rows`` training rows at most, drawn by a
+    hash of the id and by nothing else, so the same rows whatever the plan.  The
+    drawn ids are the broadcast side, so their number bounds it and no text is
+    shuffled; documents are read by as many tasks as any scan of them."""
     given = labels.select(F.col(id_col).alias("label_id"), F.col(label).cast("int").alias("label"))
     given = given.filter(train & F.col("label").isin(0, 1) & F.col("label_id").isNotNull())
     share = min(1.0, fit_rows / max(1, given.count()))
     drawn = given.filter(F.pmod(F.xxhash64("label_id"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
-    drawn = drawn.groupBy("label_id").agg(F.min("label").alias("label")).limit(2 * fit_rows)
+    drawn = drawn.groupBy("label_id").agg(F.min("label").alias("label"))
     rows = docs.select(F.col(id_col).alias("label_id"), text_of(docs, text_col).alias("text"))
     return rows.join(F.broadcast(drawn), "label_id").select("text", "label")
 
@@ -119,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality
 
     rows = labelled_sample(docs, labels, label, train, id_col, text_col, fit_rows)
     sample = materialize(rows.select(F.struct(*[v.alias(k) for k, v in statistics(F.col("text")).items()]).alias("stat"),
-                                     F.col("label").cast("double").alias("label")).coalesce(8), "quality-sample")
+                                     F.col("label").cast("double").alias("label")), "quality-sample")
     tally = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     ones, zeros = tally.get(1.0, 0), tally.get(0.0, 0)
     if not ones or not zeros:
