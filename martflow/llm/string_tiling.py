@@ -1,9 +1,9 @@
 """Benchmark decontamination by greedy string tiling.
 
 A document and a benchmark item that share a seed (a run of ``seed`` tokens)
-are tiled: the longest token runs that both hold are found with a Karp-Rabin
-index over runs of ``tile`` tokens, longest first, and marked so that no token
-is used twice.  The covered share of the item decides, so a passage whose parts
+are tiled: Karp-Rabin hashes of runs give the longest token runs that both hold,
+in rounds of falling length down to ``tile`` tokens, and these are marked so that
+no token is used twice.  The covered share of the item decides, so a passage whose parts
 were put in another order is still found.
 
 The work on documents is one pass with no shuffle.  Benchmark items are sent to
@@ -16,6 +16,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,57 +26,114 @@ from .common import text_of
 SEED, TILE, THRESHOLD = 5, 3, 0.8
 BLOCK_CHARS = 8_000_000  # benchmark text that is sent to the tasks at once
 TOKEN = re.compile(r"\w+")
-BASE, MODULUS = 1_000_003, (1 << 61) - 1
+BASES, MODULI = (1_000_003, 69_069), ((1 << 31) - 1, (1 << 31) - 19)
 
 
 def tokens(text: str) -> list[str]:
     return TOKEN.findall(text.lower())
 
 
-def rolling(ids: list[int], length: int) -> list[int]:
-    """Karp-Rabin hash of every run of ``length`` ids."""
-    if len(ids) < length:
-        return []
-    out, h, top = [], 0, pow(BASE, length - 1, MODULUS)
-    for i, x in enumerate(ids):
-        if i >= length:
-            h -= ids[i - length] * top
-        h = (h * BASE + x) % MODULUS
-        if i >= length - 1:
-            out.append(h)
-    return out
+class Runs:
+    """Karp-Rabin hashes of the runs of any length of a token sequence: those of
+    power-of-two lengths are kept, and joined for the lengths between."""
+
+    def __init__(self, ids: list[int]):
+        self.ids = np.asarray(ids, np.uint64)
+        self.powers = [[self.ids % np.uint64(m) for m in MODULI]]
+
+    def hashes(self, length: int) -> np.ndarray:
+        """The hash of the run that starts at each place where one fits."""
+        out = []
+        for lane, (base, m) in enumerate(zip(BASES, MODULI, strict=True)):
+            mod, value, at = np.uint64(m), np.zeros(len(self.ids) + 1, np.uint64), 0
+            for i in range(length.bit_length()):
+                if length >> i & 1:
+                    step = self.power(i, lane)
+                    value = (value[: len(step) - at] * np.uint64(pow(base, 1 << i, m)) + step[at:]) % mod
+                    at += 1 << i
+            out.append(value)
+        return (out[0] << np.uint64(32)) | out[1]
+
+    def power(self, i: int, lane: int) -> np.ndarray:
+        while len(self.powers) <= i:
+            half, last = 1 << (len(self.powers) - 1), self.powers[-1]
+            self.powers.append([(x[: max(0, len(x) - half)] * np.uint64(pow(base, half, m)) + x[half:]) % np.uint64(m)
+                                for x, base, m in zip(last, BASES, MODULI, strict=True)])
+        return self.powers[i][lane]
+
+
+def unmarked(used: np.ndarray, length: int) -> np.ndarray:
+    """Where runs of ``length`` unmarked tokens start."""
+    before = np.concatenate(([0], np.cumsum(used, dtype=np.int64)))
+    return np.flatnonzero(before[length:] == before[:-length])
+
+
+def reached(hashes: np.ndarray, wanted: np.ndarray, length: int) -> np.ndarray:
+    """The tokens inside a run of ``length`` whose hash is wanted."""
+    hit = np.isin(hashes, wanted)
+    edge = np.zeros(len(hashes) + length, np.int64)
+    edge[: len(hit)] += hit
+    edge[length:] -= hit
+    return np.cumsum(edge)[:-1] > 0
 
 
 def greedy_tiles(item: list[int], doc: list[int], tile: int = TILE) -> list[tuple[int, int, int]]:
     """Non-overlapping ``(item start, document start, length)``, longest first;
-    among equal lengths the earlier in the item, then in the document."""
-    index: dict[int, list[int]] = defaultdict(list)
-    wanted = set(hashes := rolling(item, tile))
-    for at, h in enumerate(rolling(doc, tile)):
-        if h in wanted:
-            index[h].append(at)
-    used_item, used_doc = bytearray(len(item)), bytearray(len(doc))
+    among equal lengths the earlier in the item, then in the document.
+
+    A round finds the longest length that has a common unmarked run by halving
+    (a run of some length holds shorter ones), then marks the runs of that
+    length in turn.  Lengths fall from round to round and add up to the item's
+    at most, so there are about ``sqrt(2 * len(item))`` rounds, each nearly
+    linear, however often tokens repeat.  Equal hashes are compared by tokens.
+    """
+    runs, others = Runs(item), Runs(doc)
+    low, high = max(1, tile), min(len(item), len(doc))
+    if low > high:
+        return []
+    # tokens outside every shared run of the least length can be in no tile
+    used_item, used_doc = np.zeros(len(item), bool), ~reached(others.hashes(low), runs.hashes(low), low)
     out: list[tuple[int, int, int]] = []
-    while True:
-        longest, matches = tile - 1, []
-        for a, h in enumerate(hashes):
-            if used_item[a]:
+
+    def shared(length: int) -> tuple[np.ndarray, ...] | None:
+        here, there = unmarked(used_item, length), unmarked(used_doc, length)
+        if not len(here) or not len(there):
+            return None
+        own, theirs = runs.hashes(length)[here], others.hashes(length)[there]
+        hit = np.isin(own, theirs)
+        return (here[hit], own[hit], there, theirs) if hit.any() else None
+
+    while low <= high:
+        best, found, short, long = 0, None, low, high
+        while short <= long:
+            middle = (short + long) // 2
+            if (hit := shared(middle)) is not None:
+                best, found, short = middle, hit, middle + 1
+            else:
+                long = middle - 1
+        if found is None:
+            break
+        here, own, there, theirs = found
+        wanted = np.isin(theirs, own)
+        places: dict[int, list[int]] = defaultdict(list)
+        for b, h in zip(there[wanted][::-1].tolist(), theirs[wanted][::-1].tolist(), strict=True):
+            places[h].append(b)  # the earliest place is last
+        for a, h in zip(here.tolist(), own.tolist(), strict=True):
+            if used_item[a : a + best].any():
                 continue
-            for b in index.get(h, ()):
-                n = 0
-                while (a + n < len(item) and b + n < len(doc) and item[a + n] == doc[b + n]
-                       and not used_item[a + n] and not used_doc[b + n]):
-                    n += 1
-                if n > longest:
-                    longest, matches = n, [(a, b)]
-                elif n == longest and n >= tile:
-                    matches.append((a, b))
-        if longest < tile:
-            return out
-        for a, b in matches:
-            if not any(used_item[a : a + longest]) and not any(used_doc[b : b + longest]):
-                used_item[a : a + longest] = used_doc[b : b + longest] = b"\1" * longest
-                out.append((a, b, longest))
+            left, passed = places[h], []
+            while left:
+                b = left.pop()
+                if used_doc[b : b + best].any():
+                    continue
+                if item[a : a + best] == doc[b : b + best]:
+                    used_item[a : a + best] = used_doc[b : b + best] = True
+                    out.append((a, b, best))
+                    break
+                passed.append(b)  # equal hash, other tokens
+            left.extend(reversed(passed))
+        high = best - 1
+    return out
 
 
 class ItemIndex:
@@ -139,8 +197,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     Tokens are runs of word characters in lower case.  Null texts, texts and
     items without tokens and items with a null id share nothing; repeated items
     count once, an id with several texts gives a row for each.  Repeated
-    documents give repeated rows, null ids stay null.  Other columns are
-    ignored.  An empty table gives an empty result.
+    documents give repeated rows, null ids stay null.  Texts are tiled whole,
+    however long or repetitive; the memory of a task grows with its longest one.
+    Other columns are ignored.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), text_of(docs, text_col).alias("text"))

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import random
+import time
+
+import numpy as np
 
 from martflow.llm import string_tiling as S
 from martflow.llm.queries import QUERIES
@@ -42,6 +45,38 @@ def test_tiles_match_brute_force():
         assert S.greedy_tiles(item, doc, 3) == slow_tiles(item, doc, 3)
 
 
+def test_tiles_of_long_texts_match_brute_force():
+    rng = random.Random(2)
+    for _ in range(12):
+        item = [rng.randint(1, 3) for _ in range(rng.randint(20, 60))]
+        doc = [rng.randint(1, 3) for _ in range(40)] + item[10:] + [7] + item[:10] + [rng.randint(1, 3) for _ in range(30)]
+        assert S.greedy_tiles(item, doc, 3) == slow_tiles(item, doc, 3)
+
+
+def test_hashes_stand_for_runs():
+    rng = random.Random(3)
+    ids = [rng.randint(0, 2) for _ in range(300)]
+    runs = S.Runs(ids)
+    for n in (1, 2, 3, 7, 64, 299, 300):
+        got = runs.hashes(n).tolist()
+        want = [tuple(ids[i : i + n]) for i in range(len(ids) - n + 1)]
+        assert len(got) == len(want) and len(set(zip(got, want, strict=True))) == len(set(want)) == len(set(got))
+
+
+def test_equal_hashes_of_other_tokens_are_no_match(monkeypatch):
+    monkeypatch.setattr(S.Runs, "hashes", lambda self, n: np.zeros(len(self.ids) - n + 1, np.uint64))
+    assert S.greedy_tiles([1, 2, 3, 4], [9, 9, 1, 2, 3, 4, 8], 3) == [(0, 2, 4)]
+    assert S.greedy_tiles([1, 2, 3, 4], [9, 9, 1, 2, 3, 5, 8, 9], 3) == [(0, 2, 3)]
+    assert S.greedy_tiles([1, 2, 3], [3, 2, 1, 3, 2, 1], 3) == []
+
+
+def test_repeated_words_are_not_cubic():
+    start = time.process_time()
+    assert S.greedy_tiles([1] * 60, [1] * 20_000, 3) == [(0, 0, 60)]
+    assert sum(t[2] for t in S.greedy_tiles([1, 2] * 500 + [3] * 100, [1, 2, 2] * 20_000 + [3] * 50, 3)) > 50
+    assert time.process_time() - start < 3
+
+
 def frames(spark, docs, items):
     return (spark.createDataFrame(docs, "doc_id long, text string, item_id string, id int, coverage int"),
             spark.createDataFrame(items, "item_id long, text string"))
