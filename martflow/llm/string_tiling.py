@@ -41,15 +41,15 @@ class Runs:
         self.ids = np.asarray(ids, np.uint64)
         self.powers = [[self.ids % np.uint64(m) for m in MODULI]]
 
-    def hashes(self, length: int) -> np.ndarray:
-        """The hash of the run that starts at each place where one fits."""
+    def hashes(self, length: int, starts: np.ndarray | None = None) -> np.ndarray:
+        """The hash of the run at each of ``starts``, or at every place where one fits."""
         out = []
+        starts = np.arange(max(0, len(self.ids) - length + 1)) if starts is None else starts
         for lane, (base, m) in enumerate(zip(BASES, MODULI, strict=True)):
-            mod, value, at = np.uint64(m), np.zeros(len(self.ids) + 1, np.uint64), 0
+            mod, value, at = np.uint64(m), np.zeros(len(starts), np.uint64), 0
             for i in range(length.bit_length()):
                 if length >> i & 1:
-                    step = self.power(i, lane)
-                    value = (value[: len(step) - at] * np.uint64(pow(base, 1 << i, m)) + step[at:]) % mod
+                    value = (value * np.uint64(pow(base, 1 << i, m)) + self.power(i, lane)[starts + at]) % mod
                     at += 1 << i
             out.append(value)
         return (out[0] << np.uint64(32)) | out[1]
@@ -99,7 +99,7 @@ def greedy_tiles(item: list[int], doc: list[int], tile: int = TILE) -> list[tupl
         here, there = unmarked(used_item, length), unmarked(used_doc, length)
         if not len(here) or not len(there):
             return None
-        own, theirs = runs.hashes(length)[here], others.hashes(length)[there]
+        own, theirs = runs.hashes(length, here), others.hashes(length, there)
         hit = np.isin(own, theirs)
         return (here[hit], own[hit], there, theirs) if hit.any() else None
 
