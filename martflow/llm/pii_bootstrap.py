@@ -1,8 +1,8 @@
 """Personal data: fixed patterns, and contexts learned from what they find.
 
-The fixed patterns give seed entities.  The words before a seed are a lexical
-pattern; identifier-like tokens behind the same words are its further
-instances.  Patterns and instances score each other in turn (a pattern by the
+The fixed patterns and the values of secret keys give seed entities.  The words
+before a seed, and the key right before it, are lexical patterns; identifier-like
+tokens behind the same words are their further instances.  Patterns and instances score each other in turn (a pattern by the
 share of its instances that are believed, an instance by the patterns it
 occurs with), and patterns that end with high confidence mark the unseen
 identifiers behind them.  Scoring starts from the contexts of seeds; the other
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import materialize, text_of
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = len(KINDS)  # the kind of what stands behind secret keys, never a base span
+ALL_KINDS = (*KINDS, "secret")
 ROUNDS, CONFIDENT = 3, 0.8
 
 # The base patterns, written so that no regex engine step repeats work: a run of
@@ -34,17 +36,25 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "token": "[0-9]"}
-#: Identifier-like: 6 to 64 word characters and inner signs, with a digit.
-TOKEN = r"(?<![\w@.+-])(?=[\w@.+-]*[0-9])[\w@+][\w@.+-]{4,62}\w(?![\w@+])"
-BEFORE = 48  # characters before a span that its context is read from
+#: Seeds of secrets: a value of eight characters or more with a digit and a letter
+#: behind one of these words and a sign for "is".
+SECRET_KEYS = "password|passwd|pwd|token|secret|api_key|api-key|apikey|access_key"
+SECRET_SEED = rf"""(?<=(?:(?i){SECRET_KEYS})["']?\x20?[:=]\x20?["']?)(?=[^\s"',;]*[0-9])(?=[^\s"',;]*[A-Za-z])[^\s"',;:=]{{8,}}+"""
+GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "token": "[0-9]",
+          "secret": rf"""(?:(?i){SECRET_KEYS})["']?\x20?[:=]"""}
+#: Identifier-like: six or more word characters and inner signs, with a digit.
+TOKEN = r"(?<![\w@.+-])(?=[\w@.+-]*[0-9])[\w@+][\w@.+-]{4,}\w(?![\w@+])"
+#: Read backwards from a span: the two words before it with their signs.
+WORDS_BACK = r"^\s*+(?:\S++(?:\s++\S++)?+)?+"
 
 
 def occurrences(text: str, pattern: str, guard: str) -> Column:
     """All matches of a pattern in the column ``text`` as an array of
     ``(start, end, before, value)``: the text between matches and the matches in
-    turn give the places by running sums.  Texts without ``guard`` are skipped."""
-    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    turn give the places by running sums.  ``before`` is the two words before the
+    match, whole.  Texts without ``guard`` are skipped."""
+    literal = lambda x: x.replace("\\", "\\\\").replace("'", "\\'")
+    quoted = literal(pattern)
     none = "array_repeat(named_struct('start', 0, 'end', 0, 'before', '', 'value', ''), 0)"
     return F.when(F.col(text).rlike(guard), F.expr(f"""
         aggregate(
@@ -55,7 +65,7 @@ def occurrences(text: str, pattern: str, guard: str) -> Column:
                 'at', acc.at + length(x.p) + length(x.m),
                 'out', concat(acc.out, array(named_struct(
                     'start', acc.at + length(x.p), 'end', acc.at + length(x.p) + length(x.m),
-                    'before', right(x.p, {BEFORE}), 'value', x.m)))),
+                    'before', reverse(regexp_extract(reverse(x.p), '{literal(WORDS_BACK)}', 0)), 'value', x.m)))),
             acc -> acc.out)""")).otherwise(F.expr(none))
 
 
@@ -77,28 +87,39 @@ def holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def context(before: Column) -> Column:
-    """Up to two words before a span, in lower case, digits made alike."""
-    words = F.regexp_extract(before, r"((?:\S+\s+)?\S+)\s*$", 1)
-    return F.regexp_replace(F.regexp_replace(F.lower(words), "[0-9]", "0"), r"\s+", " ")
+def contexts(before: Column) -> Column:
+    """The lexical patterns of a span, from the words before it in lower case with
+    digits made alike: the last two words, and the last key with its sign
+    (``name:``, ``name = "``) whatever stands before it."""
+    words = F.trim(F.regexp_replace(F.regexp_replace(F.lower(before), "[0-9]", "0"), r"\s+", " "))
+    key = F.regexp_extract(words, r"""(?:^|[^\w.-])([\w.-]++["']?\x20?[:=]\x20?["']?)$""", 1)
+    return F.array_distinct(F.filter(F.array(words, key), lambda x: x != ""))
 
 
 def spans_in(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(row, id, base, tokens)``: the base spans of every row, by kind and then
-    start, and its identifier-like tokens that no base span touches."""
+    start, and its identifier-like tokens that no base span touches; those with
+    a ``kind`` of ``SECRET`` stand behind a secret key, the others have -1."""
     rows = docs.select(F.col(id_col).alias("id"), text_of(docs, text_col).alias("text"))
     found = rows.select("id", *[occurrences("text", PATTERNS[k], GUARDS[k]).alias(k) for k in KINDS],
+                        occurrences("text", SECRET_SEED, GUARDS["secret"]).alias("secret"),
                         occurrences("text", TOKEN, GUARDS["token"]).alias("token"))
-    def kept(i: int, kind: str) -> Column:
-        good = F.filter(kind, lambda s: holds(kind, s.value))
-        return F.transform(good, lambda s: F.struct(F.lit(i).alias("kind"), s.start.alias("start"), s.end.alias("end"),
-                                                    context(s.before).alias("context"), s.value.alias("value")))
-
-    based = found.select("id", F.concat(*[kept(i, k) for i, k in enumerate(KINDS)]).alias("base"), "token")
-    free = F.filter("token", lambda t: ~F.exists("base", lambda b: (b.start < t.end) & (t.start < b.end)))
-    tokens = F.transform(free, lambda t: F.struct(t.start.alias("start"), t.end.alias("end"),
-                                                  context(t.before).alias("context"), t.value.alias("value")))
-    return materialize(based.select("id", "base", tokens.alias("tokens")).select(
+
+    def spans(of: Column, kind: int) -> Column:
+        return F.transform(of, lambda s: F.struct(F.lit(kind).alias("kind"), s.start.alias("start"), s.end.alias("end"),
+                                                  contexts(s.before).alias("contexts"), s.value.alias("value")))
+
+    def apart(of: str, *taken: str) -> Column:
+        return F.filter(of, lambda t: ~reduce(lambda x, y: x | y, [
+            F.exists(other, lambda b: (b.start < t.end) & (t.start < b.end)) for other in taken]))
+
+    def good(kind: str) -> Column:
+        return F.filter(kind, lambda s: holds(kind, s.value))
+
+    based = found.select("id", F.concat(*[spans(good(k), i) for i, k in enumerate(KINDS)]).alias("base"), "secret", "token")
+    free = based.select("id", "base", apart("secret", "base").alias("secret"), "token")
+    tokens = F.concat(spans(F.col("secret"), SECRET), spans(apart("token", "base", "secret"), -1))
+    return materialize(free.select("id", "base", tokens.alias("tokens")).select(
         F.monotonically_increasing_id().alias("row"), "*"), "pii-spans")
 
 
@@ -111,15 +132,12 @@ def confident_patterns(found: DataFrame, rounds: int, confident: float) -> DataF
     ``rounds`` rounds of scoring, all contexts of instances believed at
     ``confident`` or more take part as well, until that gives no new pattern.
     """
-    base = found.select(F.explode("base").alias("b")).select("b.context", "b.value", "b.kind")
-    other = found.select(F.explode("tokens").alias("t")).select("t.context", "t.value", F.lit(-1).alias("kind"))
-    belief = [F.max((F.col("kind") == i).cast("double")).alias(f"seed{i}") for i in range(len(KINDS))]
-    edges = base.unionByName(other).filter("context <> ''").groupBy("context", "value").agg(*belief)
-    seeds = base.groupBy("value").agg(*belief).withColumnsRenamed({f"seed{i}": f"s{i}" for i in range(len(KINDS))})
-    edges = materialize(edges.select("context", "value", F.greatest(*[f"seed{i}" for i in range(len(KINDS))]).alias("seed")),
-                        "pii-edges")
-    seeds = materialize(seeds, "pii-seeds")
-    names = [f"s{i}" for i in range(len(KINDS))]
+    every = found.select(F.explode(F.concat("base", "tokens")).alias("x")).select("x.contexts", "x.value", "x.kind")
+    names = [f"s{i}" for i in range(len(ALL_KINDS))]
+    belief = [F.max((F.col("kind") == i).cast("double")).alias(s) for i, s in enumerate(names)]
+    edges = every.select(F.explode("contexts").alias("context"), "value", (F.col("kind") >= 0).cast("int").alias("seed"))
+    edges = materialize(edges.groupBy("context", "value").agg(F.max("seed").alias("seed")), "pii-edges")
+    seeds = materialize(every.filter("kind >= 0").groupBy("value").agg(*belief), "pii-seeds")
     best = F.greatest(*names)
     reached = materialize(edges.filter("seed > 0").select("context").distinct(), "pii-reached")
     instances, trusted = seeds, -1
@@ -147,26 +165,32 @@ def confident_patterns(found: DataFrame, rounds: int, confident: float) -> DataF
             break
         reached = materialize(reached.unionByName(more), "pii-reached")
     kind = reduce(lambda out, i: F.when(F.col(f"s{i}") == best, F.lit(i)).otherwise(out),
-                  reversed(range(len(KINDS))), F.lit(0))
+                  reversed(range(len(ALL_KINDS))), F.lit(0))
     return patterns.select("context", kind.alias("kind"), best.alias("belief")).filter(F.col("belief") >= confident)
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
                   confident: float = CONFIDENT) -> DataFrame:
     """``(id_col, base, extra)`` for every row: arrays of ``(kind, start, end,
-    value)``, ``kind`` an index into ``KINDS``, places in code points with the
-    end exclusive; ``base`` from the fixed patterns, ``extra`` found by learned
-    contexts, never touching a base span.
+    value)``, ``kind`` an index into ``ALL_KINDS``, places in code points with the
+    end exclusive; ``base`` from the fixed patterns, ``extra`` the values of secret
+    keys and what learned contexts find, never touching a base span.  A token with
+    several trusted contexts gets the kind that is believed most, the first of
+    equal ones.
 
     Null text is the empty text and has no spans; repeated rows each get theirs;
-    ids may be null.  Other columns are ignored.  An empty table gives an empty
+    ids may be null.  Texts are searched whole, and neither a context nor an
+    identifier has a greatest length.  Other columns are ignored.  An empty table gives an empty
     result.
     """
     found = spans_in(docs, id_col, text_col)
     trusted = confident_patterns(found, rounds, confident)
     tokens = found.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
-    extra = tokens.join(trusted, "context").groupBy("row").agg(F.array_sort(F.collect_list(
-        F.struct("kind", "start", "end", "value"))).alias("extra"))
+    place = [F.col(c) for c in ("row", "start", "end", "value")]
+    learned = tokens.filter("kind < 0").select(*place, F.explode("contexts").alias("context")).join(trusted, "context")
+    learned = learned.groupBy(*place).agg(F.max_by("kind", F.struct("belief", -F.col("kind"))).alias("kind"))
+    marked = tokens.filter("kind >= 0").select(*place, "kind").unionByName(learned)
+    extra = marked.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end", "value"))).alias("extra"))
     none = F.expr("array_repeat(named_struct('kind', 0, 'start', 0, 'end', 0, 'value', ''), 0)")
     base = F.transform("base", lambda b: F.struct(b.kind.alias("kind"), b.start.alias("start"), b.end.alias("end"),
                                                   b.value.alias("value")))
@@ -176,6 +200,6 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def spans_text(spans: Column) -> Column:
     """``kind:start:end``, joined by commas."""
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat(
         F.element_at(names, s.kind + 1), F.lit(":"), s.start.cast("string"), F.lit(":"), s.end.cast("string"))), ",")

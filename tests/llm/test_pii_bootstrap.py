@@ -91,6 +91,40 @@ def test_believed_identifiers_teach_further_contexts(spark):
     assert [(e.kind, e.value) for e in got[400].extra] == [(0, "zz9zz9zz")] and not got[401].extra
 
 
+def test_secrets_and_long_identifiers(spark):
+    long = "k" * 300 + "7" * 400  # identifiers and context words of any length
+    word = "w" * 200 + ":"
+    rows = [(i, f'word{i} token = "{i:04x}abcdef{i:030x}" end') for i in range(8)]
+    rows += [(100 + i, f"pre{i} password=pass{i}word{i} and more") for i in range(3)]
+    rows += [(200, f'other token = "{long}" x'), (201, "plain words token = short"), (202, "the token is 12345678ab")]
+    rows += [(300 + i, f"then {word} u{i}@x.example.com") for i in range(8)] + [(400, f"then {word} {long}x")]
+    rows += [(500 + i, f"vault ref: {i:04x}abcdef{i:030x}") for i in range(8)] + [(600, "vault ref: zz12345zz")]
+    rows += [(700, 'TOKEN: "a1b2c3d4e5@x.example.com"'), (701, "password=" + "9" * 50), (702, "x=password=" * 3000 + "a1b2c3d4")]
+    got = {r.doc_id: r for r in B.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for r in got.values():
+        assert all(texts[r.doc_id][e.start : e.end] == e.value for e in [*r.base, *r.extra])
+    extra = {i: [(B.ALL_KINDS[e.kind], e.value) for e in r.extra] for i, r in got.items() if r.extra}
+    for i in range(8):
+        assert extra[i] == [("secret", f"{i:04x}abcdef{i:030x}")] == extra[500 + i]
+    for i in range(3):
+        assert extra[100 + i] == [("secret", f"pass{i}word{i}")]
+    assert extra[200] == [("secret", long)] and extra[400] == [("email", long + "x")]
+    assert extra[600] == [("secret", "zz12345zz")]  # learned from values that other documents show as secrets
+    assert 201 not in extra and 202 not in extra and 700 not in extra and extra[702][-1] == ("secret", "a1b2c3d4")
+
+
+def test_query_finds_the_secrets_of_the_table(spark):
+    need_testdata()
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    planted = {(r.doc_id, m.start(1), m.end(1)) for r in docs
+               for m in re.finditer(r'(?:token = "|password=)([0-9a-f]{18,40})', r.text or "")}
+    found = {(r.doc_id, *map(int, s.split(":")[1:])) for r in QUERIES["op9_pii_bootstrap"](spark, sf).collect()
+             for s in r.spans.split(",") if s.startswith("secret:")}
+    assert planted and found == planted
+
+
 def test_few_or_mixed_seeds_teach_nothing(spark):
     rows = [(i, f"see mail: u{i}@x.example.com") for i in range(2)] + [(9, "see mail: a1b2c3d4")]
     rows += [(20 + i, f"random place: {i}{i}{i}{i}{i}{i}z") for i in range(9)]
