@@ -1,7 +1,7 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A lexical transducer maps words to symbols: insult, threat, target, negation,
-reported speech, clause end, or other.  Small transducers for threats, targets,
+reported speech, clause end, line end, colon, quotation mark, or other.  Small transducers for threats, targets,
 negation and reported speech each rewrite or pass on the symbols of the one
 before; composed into one table they read a text once and give every clause a
 pattern (a plain insult, an insult at a target, a threat at a target, a negated
@@ -37,9 +37,10 @@ NEGATION = "not no never nothing neither nor isnt dont without nicht kein keine
 REPORT = ("said says say called calls claims claimed quoted wrote writes reported tells told according sagte sagt schrieb "
           "laut dit disait écrit selon dijo dice escribió según").split()
 
-WORDS = re.compile(r"[^\W_]+|[.!?;:\n|]")
-INSULT_S, THREAT_S, TARGET_S, NEG_S, REPORT_S, END_S, OTHER_S = "ITPNRE-"
-SYMBOLS = "ITPNRE-"
+WORDS = re.compile(r'[^\W_]+|[.!?;:\n|"“”„«»]')
+SYMBOLS = 'ITPNRE-L:"'
+INSULT_S, THREAT_S, TARGET_S, NEG_S, REPORT_S, END_S, OTHER_S, LINE_S, COLON_S, QUOTE_S = SYMBOLS
+BREAKS = (END_S, LINE_S, COLON_S)
 #: Rewritten symbols: negated or reported ones, and insults and threats at a target.
 PLAIN, AIMED, THREATENED, NEGATED, REPORTED = range(5)
 PATTERN_NAMES = ("insult", "aimed insult", "threat", "negated", "reported")
@@ -49,7 +50,7 @@ Step = Callable[[int, str], tuple[int, str]]
 # ------------------------------------------------------------- transducers
 def negation(state: int, symbol: str) -> tuple[int, str]:
     """Insults and threats within ``SCOPE`` words behind a negation become ``n``."""
-    if symbol == END_S:
+    if symbol in BREAKS:
         return 0, symbol
     if symbol == NEG_S:
         return SCOPE, OTHER_S
@@ -57,33 +58,63 @@ def negation(state: int, symbol: str) -> tuple[int, str]:
 
 
 def report(state: int, symbol: str) -> tuple[int, str]:
-    """Insults and threats behind a word of saying become ``r`` up to the clause's end."""
-    if symbol == END_S:
+    """Insults and threats behind a word of saying become ``r`` up to the clause's
+    end; a colon does not end what is reported.  The words themselves pass on."""
+    if symbol in (END_S, LINE_S):
         return 0, symbol
     if symbol == REPORT_S:
-        return 1, OTHER_S
+        return 1, symbol
     return state, "r" if state and symbol in (INSULT_S, THREAT_S) else symbol
 
 
 def target(state: int, symbol: str) -> tuple[int, str]:
-    """Insults and threats become ``i`` and ``t`` from a target on up to the clause's end."""
-    if symbol == END_S:
+    """Insults and threats become ``i`` and ``t`` from a target on up to the
+    clause's end.  Targets pass on, for what stands before them."""
+    if symbol in BREAKS:
         return 0, symbol
     if symbol == TARGET_S:
-        return 1, OTHER_S
+        return 1, symbol
     return state, {INSULT_S: "i", THREAT_S: "t"}.get(symbol, symbol) if state else symbol
 
 
+#: The verdict's state: one more than the clause's pattern (0 for none), and flags.
+QUOTING, UNQUOTED, LOOSE, NAMED = 8, 16, 32, 64
+STRENGTH = (REPORTED, NEGATED, PLAIN, AIMED, THREATENED)
+
+
 def verdict(state: int, symbol: str) -> tuple[int, str]:
-    """The clause's pattern so far, given out at its end: the state is 0 for none,
-    else one more than the pattern; stronger patterns win."""
-    if symbol == END_S:
-        return 0, str(state)
-    rank = {"r": REPORTED, "n": NEGATED, INSULT_S: PLAIN, THREAT_S: PLAIN, "i": AIMED, "t": THREATENED}.get(symbol)
-    order = (REPORTED, NEGATED, PLAIN, AIMED, THREATENED)
-    if rank is None or state and order.index(state - 1) >= order.index(rank):
-        return state, OTHER_S
-    return rank + 1, OTHER_S
+    """The clause's pattern, given out at its end; stronger patterns win.
+
+    A target that follows aims a plain insult, and makes a threat of a threat
+    word that had none (``LOOSE``; without a target it is no match), unless a word
+    of saying comes next and it is the speaker (``NAMED`` until then).  A quotation
+    (``QUOTING``) does not end before its mark or line does; a word of saying
+    behind it reports what was matched, if all of that was quoted.
+    """
+    rank, flags = state % 8, state - state % 8
+    if flags & NAMED and symbol != REPORT_S:
+        rank, flags = (THREATENED if flags & LOOSE else max(rank - 1, AIMED)) + 1, flags & ~LOOSE
+    flags &= ~NAMED
+    if symbol == LINE_S or symbol in BREAKS and not flags & QUOTING:
+        return 0, str(rank)
+    if symbol == QUOTE_S:
+        return rank + (flags ^ QUOTING), OTHER_S
+    found = None
+    if symbol == TARGET_S:
+        if flags & LOOSE or rank == PLAIN + 1:
+            flags |= NAMED
+    elif symbol == REPORT_S:
+        if (rank or flags & LOOSE) and not flags & (QUOTING | UNQUOTED):
+            return REPORTED + 1 + (flags & ~LOOSE), OTHER_S
+    else:
+        found = {"r": REPORTED, "n": NEGATED, INSULT_S: PLAIN, "i": AIMED, "t": THREATENED}.get(symbol)
+        if symbol == THREAT_S:
+            flags |= LOOSE
+        if (found is not None or symbol == THREAT_S) and not flags & QUOTING:
+            flags |= UNQUOTED
+    if found is not None and not (rank and STRENGTH.index(rank - 1) >= STRENGTH.index(found)):
+        rank = found + 1
+    return rank + flags, OTHER_S
 
 
 def compose(*steps: Step) -> dict[tuple[int, str], tuple[int, str]]:
@@ -119,7 +150,7 @@ class Grammar:
         state, weight, get = 0, 0.0, symbols.get
         lexicon = self.lexicon
         words = WORDS.findall(text.lower())
-        words.append(".")
+        words.append("\n")  # ends quotations, too
         for word in words:
             symbol = get(word)
             if symbol is None:
@@ -129,7 +160,7 @@ class Grammar:
             if symbol in (INSULT_S, THREAT_S):
                 weight += lexicon.get(word, 1.0)
             state, said = table[state, symbol]
-            if symbol == END_S:
+            if said.isdigit():  # a clause ends here
                 if said != "0" and weight:
                     yield int(said) - 1, weight
                 weight = 0.0
@@ -138,17 +169,26 @@ class Grammar:
         out = {w: s for s, words in ((THREAT_S, THREAT), (TARGET_S, TARGET), (NEG_S, NEGATION), (REPORT_S, REPORT))
                for w in words}
         out.update(dict.fromkeys(self.lexicon, INSULT_S))
-        out.update(dict.fromkeys(".!?;:\n|", END_S))
+        out.update(dict.fromkeys(".!?;|", END_S))
+        out.update(dict.fromkeys("\"“”„«»", QUOTE_S))
+        out.update({"\n": LINE_S, ":": COLON_S})
         return out
 
     def features(self, text: str, table, symbols) -> list[float]:
-        """For each pattern the matched weight, on a falling scale; then the
-        number of matched clauses on the same scale, and the heaviest clause."""
+        """On a falling scale the matched weight of all plain and aimed insults and
+        threats, of the aimed ones and threats among them, of the threats, of the
+        negated and of the reported clauses; then the number of matched clauses on
+        the same scale, and the heaviest clause.  The first three hold each other,
+        so with weights of no less than zero (but for negated and reported clauses)
+        neither an aim nor a further insult lowers a score."""
         total, heaviest, n = [0.0] * len(PATTERN_NAMES), 0.0, 0
         for pattern, weight in self.clauses(text, table, symbols):
-            total[pattern] += weight
             if pattern in (PLAIN, AIMED, THREATENED):
                 heaviest, n = max(heaviest, weight), n + 1
+                for i in range(pattern + 1):
+                    total[i] += weight
+            else:
+                total[pattern] += weight
         return [*map(math.log1p, total), math.log1p(n), math.log1p(heaviest)]
 
 
@@ -230,13 +270,21 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic",
     if not len(y) or y.min() == y.max():
         p = (y.sum() + 0.5) / (len(y) + 1)
         return Grammar({}, (0.0,) * FEATURES, math.log(p / (1 - p)))
-    weights, bias = logistic(np.array([r["features"] for r in made]), y)
-    return Grammar(whole.lexicon, tuple(weights.tolist()), bias)
+    x, free = np.array([r["features"] for r in made]), np.ones(FEATURES, bool)
+    mild = np.isin(np.arange(FEATURES), (NEGATED, REPORTED))
+    while True:  # the weights of plain matches, aims and threats stay at zero or more
+        weights, bias = np.zeros(FEATURES), 0.0
+        weights[free], bias = logistic(x[:, free], y)
+        below = (weights < 0) & ~mild
+        if not below.any():
+            return Grammar(whole.lexicon, tuple(weights.tolist()), bias)
+        free &= ~below
 
 
 def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, score)`` for every row, the score from 0 to 1.  Null text counts
-    as the empty text; repeated rows get equal scores, ids may be null."""
+    as the empty text; texts are read whole, however long; repeated rows get
+    equal scores, ids may be null."""
     rows = docs.select(F.col(id_col).alias("id"), text_of(docs, text_col).alias("text"))
     total = F.lit(float(grammar.bias))
     for i, w in enumerate(grammar.weights):

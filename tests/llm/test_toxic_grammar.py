@@ -25,6 +25,15 @@ def clauses(text, lexicon=("idiot", "trash")):
     ("idiot, she said", [("insult", 2.0)]),
     ("they kill you; you will burn", [("threat", 1.0), ("threat", 1.0)]),
     ("you. idiot", [("insult", 2.0)]),
+    ("I will kill you.", [("threat", 1.0)]), ("kill the process", []), ("kill the process. you", []),
+    ("an idiot like you", [("aimed insult", 2.0)]), ("an idiot; you", [("insult", 2.0)]),
+    ('"idiot", he said', [("reported", 2.0)]), ('“What an idiot! Trash!” she wrote.', [("reported", 4.0)]),
+    ('"hello", he said, idiot', [("reported", 2.0)]), ('idiot, "hello", he said', [("insult", 2.0)]),
+    ("an idiot, she thinks", [("aimed insult", 2.0)]), ("the idiot and she", [("aimed insult", 2.0)]),
+    ('"I will kill you", they said', [("reported", 1.0)]), ('you "idiot', [("aimed insult", 2.0)]),
+    ("he said: you idiot. you trash", [("reported", 2.0), ("aimed insult", 2.0)]),
+    ("note: idiot", [("insult", 2.0)]), ("not: idiot", [("insult", 2.0)]),
+    ('an open " quote. idiot\nsaid trash', [("insult", 2.0), ("reported", 2.0)]),
     ("no match here", []), ("", []), ("idiot\ntrash", [("insult", 2.0), ("insult", 2.0)]),
 ])
 def test_grammar(text, want):
@@ -44,6 +53,18 @@ def test_composition_equals_running_the_transducers_in_turn():
             assert said == passed
 
 
+def test_an_aim_never_lowers_a_score(spark):
+    rows = [(i, f"word{i % 7} idiot{' you' if i % 10 == 0 else ''} end") for i in range(60)]  # aimed ones are clean here
+    rows += [(100 + i, f"word{i % 7} fine end") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100 and i % 10 != 0)) for i, _ in rows], "doc_id long, toxic int")
+    grammar = X.fit(docs, labels, X.F.lit(True))
+    assert "idiot" in grammar.lexicon and min(grammar.weights[:3]) >= 0
+    tests = spark.createDataFrame([(1, "some idiot."), (2, "some idiot you."), (3, "kill you idiot.")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in X.score(tests, grammar).collect()}
+    assert got[1] <= got[2] <= got[3]
+
+
 def test_held_out_accuracy(spark):
     need_testdata()
     got = QUERIES["op5_toxic_grammar"](spark, "/root/testdata/sf0.1")
