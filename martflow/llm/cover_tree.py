@@ -1,11 +1,15 @@
 """Exact top-k inner products by dual-tree search over cover trees.
 
-Vectors and queries are dealt into blocks of bounded size; every pair of a query
-block and a vector block meets in one group, where both sides get a cover tree.
-A pair of nodes can give no product above
-``<a, b> + |a| R_b + |b| R_a + R_a R_b`` (centres a, b, covering radii R), so it
-is dropped when that is below the worst k-th score of the node's queries.  A
-first pass over one vector block gives every query a k-th score to begin with.
+Vectors are dealt to the nearest of a bounded number of pivots and within it to
+blocks of bounded size; queries likewise, with fewer pivots.  A first pass
+searches one block of every query's own pivot and gives it a k-th score to begin
+with.  A block of pivot p and covering radius R holds no product above
+``<q, p> + |q| R``, so only the queries that can still gain from a block are sent
+to it, and only the blocks that are still asked for are copied.  Where a query
+block and a vector block meet, both get a cover tree.  A pair of nodes can give
+no product above ``<a, b> + |a| R_b + |b| R_a + R_a R_b`` (centres a, b, covering
+radii R), so it is dropped when that is below the worst k-th score of the node's
+queries.
 
 Scores are integers and compared exactly; bounds are rounded up.
 """
@@ -21,6 +25,7 @@ from .common import materialize
 
 BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, SCALE = 4096, 1024, 48, 4, 1024
 EXACT = 1 << 52  # products below this are exact in doubles
+PIVOTS, PIVOT_COMPONENTS = 512, 1 << 20  # at most so many pivots, and components of them in all
 
 
 @dataclass
@@ -141,6 +146,61 @@ def whole_vectors(table: DataFrame, id_col: str, vector_col: str, scale: int) ->
     return rows.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("vector"))
 
 
+def _pivots(rows: DataFrame, most: int) -> dict[int, np.ndarray]:
+    """By length: up to ``most`` vectors in all, taken by a hash, as a matrix."""
+    picked = rows.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(most).collect()
+    out: dict[int, list] = {}
+    for r in picked:
+        out.setdefault(r["dim"], []).append(r["vector"])
+    return {dim: np.array(vectors, np.float64) for dim, vectors in out.items()}
+
+
+def _dealt(rows: DataFrame, pivots: dict[int, np.ndarray], coarse: int) -> DataFrame:
+    """Every vector with its nearest pivot (``cell``), the nearest of the first
+    ``coarse`` ones (``near``), its distance from the first (``away``) and its norm
+    (``tall``); for queries also the products with all pivots (``at``).  Lengths
+    without a pivot have the zero vector for one."""
+    sent = rows.sparkSession.sparkContext.broadcast(pivots)
+
+    def deal(frames):
+        import pandas as pd
+
+        for frame in frames:
+            for dim, part in frame.groupby("dim"):
+                points = np.array([np.asarray(x, np.int64) for x in part["vector"]]).astype(np.float64)
+                centres = sent.value.get(int(dim), np.zeros((1, int(dim))))
+                products = points @ centres.T
+                gaps = (centres ** 2).sum(axis=1) - 2 * products  # squared distances but for the point's own square
+                cell, near = gaps.argmin(axis=1), gaps[:, :coarse].argmin(axis=1)
+                yield pd.DataFrame({
+                    "vec_id": part["vec_id"], "vector": part["vector"], "dim": part["dim"], "cell": cell.astype(np.int32),
+                    "near": near.astype(np.int32), "away": np.sqrt(((points - centres[cell]) ** 2).sum(axis=1)),
+                    "tall": np.sqrt((points ** 2).sum(axis=1)),
+                    "at": [p.tolist() if asked else None for p, asked in zip(products, part["asked"], strict=True)]})
+
+    return rows.mapInPandas(deal, "vec_id bigint, vector array<bigint>, dim int, cell int, near int, away double, "
+                                  "tall double, at array<double>")
+
+
+def _split(rows: DataFrame, cell: str, name: str, most: int) -> DataFrame:
+    """``rows`` with ``name``: parts of about ``most`` rows at most within a length and a cell."""
+    sizes = rows.groupBy("dim", cell).agg(F.ceil(F.count("*") / most).alias("parts"))
+    return rows.join(sizes, ["dim", cell]).withColumn(
+        name, F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).drop("parts")
+
+
+def still_open(asked: DataFrame, pieces: DataFrame, floors: DataFrame) -> DataFrame:
+    """One row per query and block of vectors that may hold one of its best: all
+    but the block searched first and those whose bound is below the query's floor."""
+    rows = asked.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    rows = rows.select("*", F.posexplode("at").alias("cell", "product")).drop("at")
+    rows = rows.join(pieces, ["dim", "cell"])
+    norm, radius, tall = F.col("query_norm"), F.col("radius"), F.col("tallest")
+    bound = F.least(F.col("product") + norm * radius, norm * tall) + norm * (tall + 2 * radius) * 1e-9 + 1e-6
+    first = (F.col("cell") == F.col("home")) & (F.col("sub") == 0)
+    return rows.filter(~first & (bound >= F.col("floor"))).drop("product", "radius", "tallest")
+
+
 def top_products(table: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
                  scale: int = SCALE, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's ``k`` highest integer
@@ -153,34 +213,34 @@ def top_products(table: DataFrame, is_query: Column, k: int = 10, id_col: str =
     64-bit number.  Left out: see ``whole_vectors``.  Other columns are ignored.
     An empty table gives an empty result.
     """
-    rows = materialize(whole_vectors(table, id_col, vector_col, scale).distinct().withColumn("dim", F.size("vector")),
-                       "vectors")
-    n, m = rows.count(), rows.filter(is_query).count()
-    pieces, groups = max(1, -(-n // block)), max(1, -(-m // query_block))
-    hashed = F.xxhash64("vec_id")
-    data = rows.withColumn("piece", F.pmod(hashed, F.lit(pieces)).cast("int"))
-    asked = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"),
-                                         F.col("dim").alias("query_dim"),
-                                         F.pmod(hashed, F.lit(groups)).cast("int").alias("query_part"))
-
-    def met(first: bool, floors: DataFrame | None) -> DataFrame:
-        low, high = (0, 0) if first else (1, pieces - 1)
-        left = asked.withColumn("query_piece", F.explode(F.sequence(F.lit(low), F.lit(high))))
-        if floors is None:
-            left = left.withColumn("floor", F.lit(float("-inf")))
-        else:
-            left = left.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-        right = data.filter(F.col("piece").between(low, high)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    rows = materialize(whole_vectors(table, id_col, vector_col, scale).distinct().withColumn("dim", F.size("vector"))
+                       .withColumn("asked", F.coalesce(is_query, F.lit(False))), "vectors")
+    n, m, widest = rows.agg(F.count("*"), F.count(F.when(F.col("asked"), 1)), F.coalesce(F.max("dim"), F.lit(1))).first()
+    most = max(1, min(PIVOTS, -(-n // block), PIVOT_COMPONENTS // widest))
+    dealt = materialize(_dealt(rows, _pivots(rows, most), max(1, min(most, -(-m // query_block)))), "dealt")
+    data = _split(dealt.select("vec_id", "vector", "dim", "cell", "away", "tall"), "cell", "sub", block)
+    asked = _split(dealt.filter(F.col("at").isNotNull()), "near", "part", query_block).select(
+        F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), "dim", "near", "part",
+        F.col("cell").alias("home"), F.col("tall").alias("query_norm"), "at")
+    pieces = data.groupBy("dim", "cell", "sub").agg(F.max("away").alias("radius"), F.max("tall").alias("tallest"))
+
+    def met(left: DataFrame) -> DataFrame:
+        meeting = left.select("dim", "cell", "sub", "near", "part").distinct()
+        right = data.select("vec_id", "vector", "dim", "cell", "sub").join(meeting, ["dim", "cell", "sub"])
 
         def search(a, b):
             return _search(a, b, k) if len(a) and len(b) else a[[]].assign(query_id=[], vec_id=[], score=[]).astype("int64")
 
-        return left.groupBy("query_dim", "query_part", "query_piece").cogroup(
-            right.groupBy("dim", "part", "piece")).applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+        keys = ["dim", "near", "part", "cell", "sub"]
+        left = left.select(*[F.col(c).alias("query_" + c) for c in keys], "query_id", "query", "floor")
+        return left.groupBy(*["query_" + c for c in keys]).cogroup(right.groupBy(*keys)).applyInPandas(
+            search, "query_id bigint, vec_id bigint, score bigint")
 
-    found = materialize(met(True, None), "first-block")
-    if pieces > 1:
+    found = materialize(met(asked.withColumn("cell", F.col("home")).withColumn("sub", F.lit(0)).withColumn(
+        "floor", F.lit(float("-inf")))), "first-block")
+    if n > block:
         floors = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor"))
-        found = found.unionByName(met(False, floors.filter(F.col("n") >= k).select("query_id", "floor")))
+        left = still_open(asked, pieces, floors.filter(F.col("n") >= k).select("query_id", "floor"))
+        found = found.unionByName(met(materialize(left, "open")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -77,6 +77,34 @@ def test_blocks_ties_and_copies(spark):
     assert want.keys() == got.keys()
 
 
+def test_blocks_are_pruned_before_they_are_copied(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8)) * 4
+    rows = [(i, (centres[i % 12] + rng.normal(size=8) * 0.02).round(3).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent, still_open = [], T.still_open
+
+    def counted(asked, pieces, floors):
+        left = still_open(asked, pieces, floors)
+        sent.append((left.count(), asked.count() * pieces.count(), left.select("near", "part", "cell", "sub").distinct().count(),
+                     asked.select("near", "part").distinct().count() * pieces.count()))
+        return left
+
+    monkeypatch.setattr(T, "still_open", counted)
+    got = found(T.top_products(df, F.col("vec_id") % 7 == 0, k=5, block=40, query_block=8))
+    assert got == brute(rows, lambda i: i % 7 == 0, 5)
+    (queries, all_queries, blocks, all_blocks), = sent
+    assert queries < 0.6 * all_queries and blocks < 0.8 * all_blocks
+
+
+def test_more_lengths_than_pivots_and_large_numbers(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=1 + i % 5) * 10.0 ** (i % 4 * 3)).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(T.top_products(df, F.col("vec_id") % 4 == 0, k=3, block=60, query_block=4))
+    assert got == brute(rows, lambda i: i % 4 == 0, 3)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 0.0]), (None, [1.0, 1.0]),
