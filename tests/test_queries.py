@@ -4,6 +4,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 
 @pytest.fixture
@@ -42,3 +43,52 @@ def test_narrowing_rejects_counts_orders_of_any_amount(spark, star):
     path = star([order(k) for k in (1, 2, 3, 4)], lines)
     got = {tuple(r) for r in entry.q_narrowing_rejects(spark, path).collect()}
     assert got == {("pay_amount", "decimal(18,2)", 3), ("refund_amount", "decimal(18,2)", 0)}
+
+
+def test_items_with_their_header_give_the_same_fact_without_a_join(spark, star):
+    from martflow.operators import dwd
+    from martflow.sources.tpch import ods_from_tpch
+
+    path = star([order(1), order(2, 2), order(4, 3, status=None)],
+                [line(1, 1, 5.0), line(2, 1, 6.0), line(2, 2, 7.0, part=8), line(4, 1, 8.0, flag="R"), line(9, 1, 9.0)])
+    ods = ods_from_tpch(spark, path)
+    fact = dwd.fact_order(ods.orders)
+    headed = dwd.with_header(ods.items, fact.unionByName(fact))  # an order id that repeats multiplies no item
+    assert headed.columns == [*ods.items.columns, *dwd.HEADER] and headed.count() == 5
+    assert headed.filter("is_paid IS NULL").select("order_id").collect() == [(9,)]
+    got, want = dwd.fact_order_item_from_headed(headed), dwd.fact_order_item(ods.items, fact)
+    assert got.dtypes == want.dtypes and want.count() == 4
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_full_run_joins_no_stored_items(spark, star, tmp_path):
+    """The item fact comes from staged items that carry their order; the facts are those of the join."""
+    from martflow.operators import dwd
+    from martflow.plans import pipeline
+    from martflow.sources.tpch import ods_from_tpch
+    from martflow.storage import Run
+
+    path = star([order(1), order(2, 2), order(3, 3)], [line(1, 1, 5.0), line(2, 1, 6.0), line(2, 2, 7.0), line(3, 1, 8.0, flag="R")])
+    ods = ods_from_tpch(spark, path)
+    own, rows, failed = pipeline._checked(ods, f"{tmp_path}/staged")
+    assert failed is None and rows == {"users": 1, "orders": 3, "items": 4}
+    assert "Join" not in dwd.fact_order_item_from_headed(own.items)._jdf.queryExecution().optimizedPlan().toString()
+    stored = []
+    for name, source in (("headed", own), ("plain", own._replace(items=own.items.select(*ods.items.columns)))):
+        run = Run(spark, f"{tmp_path}/{name}")
+        pipeline.write_layers(run, source)
+        stored.append(sorted(map(tuple, run.read(pipeline.FACT_ITEM).collect())))
+    assert stored[0] == stored[1] and len(stored[0]) == 4
+
+
+def test_giant_keys_are_found_by_buckets_first(spark, monkeypatch):
+    from martflow.operators import numbering
+
+    df = spark.range(1000).select(F.when(F.col("id") >= 100, F.col("id") % 90).alias("k"))  # 100 NULL, else 10 each
+    calls, count = [], numbering.largest_group
+    monkeypatch.setattr(numbering, "largest_group", lambda d, *key: calls.append(key) or count(d, *key))
+    assert numbering.any_larger(df, "k", 99) and numbering.any_larger(df, "k", 0) and len(calls) == 4
+    assert not numbering.any_larger(df, "k", 200) and len(calls) == 5  # no bucket has more: keys are not counted
+    monkeypatch.setattr(numbering, "BUCKETS", 1)
+    assert not numbering.any_larger(df, "k", 100) and len(calls) == 7  # a bucket of many small keys
+    assert not numbering.any_larger(df.limit(0), "k", 0)
