@@ -45,6 +45,23 @@ def test_narrowing_rejects_counts_orders_of_any_amount(spark, star):
     assert got == {("pay_amount", "decimal(18,2)", 3), ("refund_amount", "decimal(18,2)", 0)}
 
 
+def test_items_of_a_day_are_sliced_below_the_window_of_their_orders(spark, star):
+    from martflow.operators.slicing import day_slice
+    from martflow.sources.tpch import ods_from_tpch
+
+    path = star([order(1, 1), order(2, 2), order(3, 2)],
+                [line(1, 1, 5.0), line(2, 1, 6.0), line(2, 2, 7.0), line(3, 1, 8.0, flag="R"), line(9, 1, 9.0), line(None, 1, 9.0)])
+    ods = ods_from_tpch(spark, path)
+    items = day_slice(ods, "2026-01-02").items
+    assert sorted(r["order_item_id"] for r in items.collect()) == ["2-1", "2-2", "3-1"]
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Window [") < plan.index("LeftSemi")  # the window holds the day's lines only
+    twice = ods._replace(orders=ods.orders.unionByName(ods.orders))
+    assert day_slice(twice, "2026-01-02").items.count() == 3
+    nulls = ods._replace(orders=ods.orders.withColumn("order_id", F.nullif("order_id", F.lit(2))))
+    assert [r["order_id"] for r in day_slice(nulls, "2026-01-02").items.collect()] == [3]
+
+
 def test_items_with_their_header_give_the_same_fact_without_a_join(spark, star):
     from martflow.operators import dwd
     from martflow.sources.tpch import ods_from_tpch
