@@ -109,3 +109,57 @@ def test_giant_keys_are_found_by_buckets_first(spark, monkeypatch):
     monkeypatch.setattr(numbering, "BUCKETS", 1)
     assert not numbering.any_larger(df, "k", 100) and len(calls) == 7  # a bucket of many small keys
     assert not numbering.any_larger(df.limit(0), "k", 0)
+
+
+def test_headed_items_carry_what_a_join_to_the_stored_orders_gives(spark, star):
+    """The header comes from where the lines are by order: no join of finished items to orders."""
+    from martflow.operators import dwd
+    from martflow.sources.tpch import ods_from_tpch
+
+    path = star([order(1), order(2, 2), order(4, 3, status=None), order(None, 1), order(5)],
+                [line(1, 1, 5.0), line(2, 1, 6.0, flag="R"), line(2, 2, 7.0, part=8, flag="R"), line(4, 1, 8.0, flag="R"),
+                 line(4, 2, None), line(9, 1, 9.0), line(None, 1, 9.0)])
+    plain, headed = ods_from_tpch(spark, path), ods_from_tpch(spark, path, headed=True)
+    assert headed.items.columns == [*plain.items.columns, *dwd.HEADER]
+    fact = dwd.fact_order(plain.orders)
+    got, want = dwd.with_header(headed.items, fact), dwd.with_header(plain.items, fact)
+    assert got.dtypes == want.dtypes and want.count() == 7
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+    def joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+    assert joins(got) == 2 < joins(want)  # orders and part
+
+
+def test_an_empty_day_computes_nothing_that_a_source_joins_to_its_orders(spark, star, tmp_path):
+    from martflow.plans.pipeline import FACT_ITEM, OK, run_day, run_full
+    from martflow.sources.tpch import ods_from_tpch
+    from martflow.storage import Run
+
+    path = star([order(1), order(2, 2)], [line(1, 1, 5.0), line(2, 1, 6.0)])
+    ods, wh = ods_from_tpch(spark, path, headed=True), f"{tmp_path}/wh"
+    assert run_full(spark, ods, wh).status == OK
+    sums = ods.orders.groupBy("order_id").agg(F.sum(F.raise_error(F.lit("computed")).cast("decimal(18,2)")).alias("pay_amount"))
+    spoilt = ods._replace(orders=ods.orders.drop("pay_amount").join(sums, "order_id", "left").select(*ods.orders.columns))
+    result = run_day(spark, spoilt, wh, "2099-01-01", allow_empty=True)
+    assert (result.status, result.ods_rows["orders"], result.ods_rows["items"]) == (OK, 0, 0)
+    assert Run(spark, wh).read(FACT_ITEM).count() == 2
+
+
+def test_columns_that_follow_from_others_are_made_behind_the_shuffle_by_day(spark, tmp_path):
+    from martflow.storage import Run
+
+    run = Run(spark, f"{tmp_path}/wh")
+    days = spark.range(6).select("id", F.date_add(F.lit("2026-01-01").cast("date"), F.pmod("id", F.lit(3)).cast("int")).alias("dt"))
+    seen = []
+
+    def finish(rows):
+        seen.append(rows._jdf.queryExecution().logical().toString())
+        return rows.select("dt", "id", (F.col("id") * 2).alias("twice"))
+
+    stored = run.save_days(days, "f", finish=finish)
+    assert stored.columns == ["dt", "id", "twice"] and "rebalance" in seen[0].lower()
+    assert sorted((r.id, r.twice) for r in stored.collect()) == [(i, 2 * i) for i in range(6)]
+    run.save_day(days.filter("id < 2"), "f", "2026-01-01", finish=finish)
+    assert sorted((r.id, r.twice) for r in run.read("f").collect()) == [(0, 0), (1, 2), (2, 4), (4, 8), (5, 10)]
